@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +60,12 @@ def run(
     products_csv: str,
     out_dir: str,
     files_per_table: int | None = None,
+    on_stage: Callable[[str], None] = lambda stage: None,
 ) -> None:
     """Run all stages over CSV files and write each stage under ``out_dir``.
 
+    ``on_stage`` is told the name of every finished stage.
+
     Tables that feed more than one stage are written once and read back, so no stage is
     computed twice and a lost executor never sends the run back to the raw text.
     """
@@ -77,25 +81,32 @@ def run(
     orders = stored(clean.clean_orders(raw), "cleaned/orders_clean", schemas.ORDERS_CLEAN, "user_id")
     raw = files.read_csv(spark, products_csv, schemas.RAW_PRODUCTS)
     catalog = stored(clean.clean_catalog(raw), "cleaned/catalog_clean", schemas.CATALOG_CLEAN)
+    on_stage("preprocessing")
 
     sessions = stored(
         sessionize(events), "output/events_with_sessions", schemas.EVENTS_WITH_SESSIONS, "user_id"
     )
+    on_stage("sessionization")
     metrics = stored(funnel.funnel_metrics(sessions, catalog), "output/funnel_metrics", schemas.FUNNEL_METRICS)
+    on_stage("funnel")
     stored(
         attribute.last_touch(orders, attribute.touchpoints(sessions)),
         "output/attributed_orders", schemas.ATTRIBUTED_ORDERS, "user_id",
     )
+    on_stage("attribution")
     stored(anomaly.anomaly_report(metrics), "output/anomalies", schemas.ANOMALIES)
     scored = stored(anomaly.zscore_metrics(metrics), "output/anomaly_metrics", schemas.ANOMALY_METRICS)
     flagged = stored(anomaly.zscore_anomalies(scored), "output/anomalies_only", schemas.ANOMALY_METRICS)
 
+    on_stage("anomalies")
+
     files.write_json_object(report.summary(metrics), f"{out_dir}/output/summary.json")
     files.write_json_array(report.funnel_steps(metrics), f"{out_dir}/output/funnel.json")
     files.write_json_array(
         report.anomaly_export(flagged), f"{out_dir}/output/anomalies.json",
         [F.col("z_score").desc(), F.col("date"), F.col("category"), F.col("device"), F.col("referrer")],
     )
+    on_stage("export")
 
 
 def scale_up_csv(

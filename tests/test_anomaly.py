@@ -1,0 +1,174 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from clickline.operators import anomaly, report
+from clickline.sources import schemas
+from helpers import daily, rows
+
+
+def days(*pairs, category="toys"):
+    return [(f"2024-03-{day:02d}", category, rate) for day, rate in pairs]
+
+
+def baselines(df, **options):
+    got = anomaly.trailing_baseline(df, **options).orderBy("date").collect()
+    return [r.trailing_7d_avg for r in got]
+
+
+def pct(df):
+    frame = df.withColumn("daily_views", F.lit(1)).withColumn("daily_purchases", F.lit(1))
+    return anomaly.pct_anomalies(frame)
+
+
+def test_baseline_takes_calendar_days_and_skips_gaps(spark):
+    frame = daily(spark, days((1, 0.1), (2, 0.2), (9, 0.3), (10, 0.4)))
+    assert baselines(frame) == [None, 0.1, 0.2, 0.3]
+
+
+def test_baseline_excludes_today_and_rounds_half_up(spark):
+    frame = daily(spark, days((1, 0.9834), (2, 0.9835), (3, 9.0)))
+    assert baselines(frame)[2] == 0.9835
+
+
+def test_baseline_is_per_category_and_null_is_one(spark):
+    frame = daily(spark, days((1, 0.1), (2, 0.5)) + days((1, 0.3), (2, 0.5), category=None))
+    got = anomaly.trailing_baseline(frame).where("trailing_7d_avg is not null")
+    assert rows(got, "category", "trailing_7d_avg") == [(None, 0.3), ("toys", 0.1)]
+
+
+def test_baseline_does_not_depend_on_daylight_saving(spark):
+    data = days(*[(d, 0.1 * (d - 4)) for d in range(5, 16)])
+    expected = baselines(daily(spark, data))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert baselines(daily(spark, data)) == expected
+
+
+def test_threshold_is_inclusive(spark):
+    frame = daily(
+        spark,
+        days((1, 0.1), (2, 0.15), category="up")
+        + days((1, 0.1), (2, 0.05), category="down")
+        + days((1, 0.1), (2, 0.1499), category="near"),
+    )
+    assert rows(pct(frame), "category", "pct_change", "anomaly_type") == [
+        ("down", -50.0, "DROP"),
+        ("up", 50.0, "SPIKE"),
+    ]
+
+
+def test_zero_baseline_is_never_an_anomaly(spark):
+    assert pct(daily(spark, days((1, 0.0), (2, 0.0), (3, 0.4)))).count() == 0
+
+
+def test_explanation(spark):
+    frame = daily(spark, days((1, 0.0012), (2, 0.0004)) + days((1, 0.15), (2, 0.25), category=None))
+    got = anomaly.explain(pct(frame))
+    assert rows(got, "category", "explanation") == [
+        (
+            None,
+            "ALERT: [Category: unknown] conversion rate on 2024-03-02 spiked by +66.67% "
+            "compared to the 7-day baseline of 0.1500",
+        ),
+        (
+            "toys",
+            "ALERT: [Category: toys] conversion rate on 2024-03-02 dropped by -66.67% "
+            "compared to the 7-day baseline of 0.0012",
+        ),
+    ]
+
+
+def funnel(spark, data):
+    """Rows (day of March, category, views, purchases)."""
+    text = [(f"2024-03-{d:02d}", c, v, p) for d, c, v, p in data]
+    frame = spark.createDataFrame(text, "date string, category string, total_views bigint, total_purchases bigint")
+    return frame.select(
+        "category",
+        F.lit("mobile").alias("device"),
+        F.lit("email").alias("referrer"),
+        F.col("date").cast("date").alias("date"),
+        "total_views",
+        F.lit(0).cast("long").alias("total_carts"),
+        "total_purchases",
+        F.lit(0.0).alias("view_to_cart_rate"),
+        F.lit(0.0).alias("cart_to_purchase_rate"),
+        F.round(F.col("total_purchases") / F.col("total_views"), 4).alias("overall_conversion_rate"),
+    )
+
+
+def test_daily_rate_is_a_ratio_of_sums(spark):
+    frame = funnel(spark, [(1, "toys", 10, 5), (1, "toys", 30, 5), (2, "toys", 0, 3)]).fillna(0.0)
+    got = rows(anomaly.daily_category(frame), "daily_views", "daily_purchases", "daily_conversion_rate")
+    assert got == [(0, 3, 0.0), (40, 10, 0.25)]
+
+
+def test_chart_baseline_includes_today_and_counts_rows(spark):
+    frame = funnel(spark, [(d, "toys", 10, d) for d in (1, 2, 3, 4, 5, 6, 9, 20)])
+    got = anomaly.rolling_rows(anomaly.category_timeline(frame, "toys")).orderBy("date").collect()
+    assert [round(r["7d_baseline"], 6) for r in got][:2] == [0.1, 0.15]
+    assert round(got[-1]["7d_baseline"], 6) == round((2 + 3 + 4 + 5 + 6 + 9 + 20) / 70, 6)
+
+
+def test_slice_is_cut_after_the_baseline(spark):
+    frame = funnel(spark, [(d, "toys", 10, d) for d in range(1, 6)])
+    got = anomaly.category_date_slice(frame, "toys", "2024-03-02", "2024-03-03").orderBy("date").collect()
+    assert [str(r.date) for r in got] == ["2024-03-02", "2024-03-03"]
+    assert [round(r["7d_baseline"], 6) for r in got] == [0.15, 0.2]
+
+
+def test_overlay_has_the_days_value(spark):
+    frame = funnel(spark, [(1, "toys", 10, 1), (2, "toys", 10, 2), (2, "art", 10, 9), (3, "toys", 100, 15)])
+    found = anomaly.pct_anomalies(anomaly.daily_category(frame))
+    got = anomaly.anomaly_overlay(frame, found, "toys")
+    assert rows(got, "date", "anomaly_type", "conversion_rate") == rows(got, "date", "anomaly_type", "daily_conversion_rate")
+    assert got.count() == 1
+    assert anomaly.anomaly_overlay(frame, found, "toys", "2024-03-03", "2024-03-04").count() == 0
+
+
+def test_zscore_needs_history_that_varies(spark):
+    frame = funnel(
+        spark,
+        [(1, "toys", 10, 1), (2, "toys", 10, 2), (3, "toys", 10, 3), (4, "toys", 10, 9)]
+        + [(d, "flat", 3, 1) for d in (1, 2, 3)] + [(4, "flat", 3, 3)],
+    )
+    got = anomaly.zscore_metrics(frame)
+    assert got.columns == schemas.ANOMALY_METRICS.names
+    by_day = {(r.category, r.date.day): r for r in got.collect()}
+    assert by_day["toys", 3].z_score is None and by_day["toys", 3].anomaly_flag == "NORMAL"
+    hit = by_day["toys", 4]
+    assert (hit.rolling_avg_conversion, hit.rolling_std, hit.z_score, hit.anomaly_flag) == (0.2, 0.1, 7.0, "SPIKE")
+    assert by_day["flat", 4].z_score is None
+    assert rows(anomaly.zscore_anomalies(got), "category") == [("toys",)]
+
+
+def scored(spark, data):
+    schema = "date string, category string, device string, referrer string, overall_conversion_rate double, rolling_avg_conversion double, z_score double, anomaly_flag string"
+    return spark.createDataFrame(data, schema).withColumn("date", F.col("date").cast("date"))
+
+
+def test_export_defaults_order_and_limit(spark):
+    frame = scored(
+        spark,
+        [(None, None, None, None, None, None, None, None)]
+        + [("2024-03-01", "c", "d", "r", 0.1, 0.2, float(-i), "DROP") for i in range(60)],
+    )
+    got = report.anomaly_export(frame).collect()
+    assert len(got) == 50 and got[0].z_score == 0.0 and got[-1].z_score == -49.0
+    strongest = report.anomaly_export(frame, limit=1, by="abs").collect()[0]
+    assert strongest.z_score == -59.0
+    blank = report.anomaly_export(frame.where("date is null")).collect()[0]
+    assert tuple(blank) == ("", "Unknown", "Unknown", "Unknown", 0.0, 0.0, 0.0, "unknown")
+
+
+def test_zscore_series_drops_blank_dates_and_sorts(spark):
+    frame = scored(
+        spark,
+        [
+            ("2024-03-02", "c", "d", "r", 0.1, 0.2, 5.0, "SPIKE"),
+            ("2024-03-01", "c", "d", "r", 0.1, 0.2, 3.0, "SPIKE"),
+            ("2024-03-01", "c", "d", "r", 0.1, 0.2, float("nan"), "SPIKE"),
+            (None, "c", "d", "r", 0.1, 0.2, 4.0, "SPIKE"),
+        ],
+    )
+    got = report.zscore_series(report.anomaly_export(frame)).collect()
+    assert [(r.date, r.value) for r in got] == [("2024-03-01", 3.0), ("2024-03-02", 5.0)]

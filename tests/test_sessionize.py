@@ -1,0 +1,148 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickline.operators import sessionize as module
+from clickline.operators.sessionize import sessionize
+from clickline.sources import testtables
+from clickline.streaming.sessions import session_rollup
+from helpers import events, executed_plan, rows
+
+
+def ids(df):
+    return rows(sessionize(df), "user_id", "timestamp", "session_id")
+
+
+def numbers(df, **options):
+    """Session numbers in time order."""
+    got = sessionize(df, **options).orderBy("user_id", "timestamp").collect()
+    return [r.session_id for r in got]
+
+
+def test_gap_is_inclusive(spark):
+    frame = events(
+        spark,
+        [
+            ("u", "2024-01-01 00:00:00"),
+            ("u", "2024-01-01 00:29:59"),
+            ("u", "2024-01-01 00:59:59"),
+            ("u", "2024-01-01 01:30:00"),
+        ],
+    )
+    assert numbers(frame) == ["u_1", "u_1", "u_1", "u_2"]
+
+
+def test_gap_counts_whole_seconds(spark):
+    frame = events(
+        spark,
+        [
+            ("a", "2024-01-01 10:00:00.9"),
+            ("a", "2024-01-01 10:30:01.1"),
+            ("b", "2024-01-01 10:00:00.1"),
+            ("b", "2024-01-01 10:30:00.9"),
+        ],
+    )
+    assert numbers(frame) == ["a_1", "a_2", "b_1", "b_1"]
+
+
+def test_ties_share_a_session_whatever_the_input_order(spark):
+    data = [
+        ("u", "2024-01-01 10:00:00", "view", 1),
+        ("u", "2024-01-01 11:00:00", "view", 2),
+        ("u", "2024-01-01 11:00:00", "purchase", 3),
+        ("u", "2024-01-01 11:00:00", "add_to_cart", 4),
+    ]
+    for order in (data, data[::-1]):
+        got = rows(sessionize(events(spark, order)), "product_id", "session_id")
+        assert got == [(1, "u_1"), (2, "u_2"), (3, "u_2"), (4, "u_2")]
+
+
+def test_each_untimed_event_is_its_own_leading_session(spark):
+    frame = events(spark, [("u", None), ("u", "2024-01-01 10:00:00"), ("u", None, "purchase"), ("u", None, "purchase")])
+    got = sessionize(frame)
+    untimed = rows(got.where("timestamp is null"), "session_id")
+    assert untimed == [("u_1",), ("u_2",), ("u_3",)]
+    assert rows(got.where("timestamp is not null"), "session_id") == [("u_4",)]
+
+
+def test_many_untimed_copies_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(module, "_CHUNK", 7)
+    monkeypatch.setattr(module, "_SALTS", 5)
+    frame = events(spark, [("u", None, "view", p) for p in range(40)] + [("u", None)] * 50 + [("v", None)] * 3)
+    got = sessionize(frame)
+    assert sorted(int(r.session_id.split("_")[1]) for r in got.where("user_id = 'u'").collect()) == list(range(1, 91))
+    assert sorted(r.session_id for r in got.where("user_id = 'v'").collect()) == ["v_1", "v_2", "v_3"]
+
+
+def test_null_user_and_times_before_1970(spark):
+    frame = events(
+        spark,
+        [(None, "1969-12-31 23:45:00"), (None, "1970-01-01 00:10:00"), (None, "1970-01-01 00:40:01")],
+    )
+    got = sessionize(frame).orderBy("timestamp").collect()
+    assert [r.session_id for r in got] == ["1", "1", "2"]
+
+
+@pytest.mark.parametrize("gap", [0, 1, 59, 1800, 86400])
+def test_equals_a_row_by_row_walk(spark, gap):
+    draw = random.Random(gap)
+    start = dt.datetime(2024, 1, 1)
+    data = []
+    for user in "abc":
+        at = start
+        for _ in range(120):
+            at += dt.timedelta(seconds=draw.choice([0, 1, gap, gap + 1, max(gap - 1, 0), draw.randint(0, 3 * gap + 3)]))
+            data.append((user, str(at)))
+    expected, last, number = [], {}, {}
+    for user, text in data:
+        at = dt.datetime.fromisoformat(text)
+        if user not in last or (at - last[user]).total_seconds() > gap:
+            number[user] = number.get(user, 0) + 1
+        last[user] = at
+        expected.append((user, at, f"{user}_{number[user]}"))
+    draw.shuffle(data)
+    got = rows(sessionize(events(spark, data), gap_seconds=gap), "user_id", "timestamp", "session_id")
+    assert got == sorted(expected, key=lambda t: tuple((True, str(v)) for v in t))
+
+
+def test_window_never_sees_raw_events(spark, sf_dir):
+    """Events are reduced per (user, slot) before the only per-user window."""
+    plan = executed_plan(sessionize(testtables.events(spark, sf_dir).dropna(subset=["timestamp"])))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    at = plan.find("Window [")
+    assert at >= 0
+    while at >= 0:
+        assert "HashAggregate" in plan[at : plan.index("FileScan", at)]
+        at = plan.find("Window [", at + 1)
+
+
+def test_one_user_with_most_rows(spark):
+    """A dominant user in a dominant half hour comes out whole."""
+    busy = spark.range(20000).select(
+        F.lit("hot").alias("user_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 600).alias("timestamp"),
+        F.lit("view").alias("event_type"),
+        F.col("id").alias("product_id"),
+        F.lit("mobile").alias("device"),
+        F.lit("email").alias("referrer"),
+    )
+    later = busy.limit(10).withColumn("timestamp", F.timestamp_seconds(F.lit(1704067200 + 7200)))
+    got = sessionize(busy.unionByName(later)).groupBy("session_id").count()
+    assert rows(got) == [("hot_1", 20000), ("hot_2", 10)]
+
+
+def test_session_window_agrees(spark, sf_dir):
+    frame = testtables.events(spark, "/root/testdata/sf0.01")
+    ours = (
+        sessionize(frame)
+        .groupBy("user_id", "session_id")
+        .agg(F.count(F.lit(1)).alias("events"), F.unix_seconds(F.min("timestamp")).alias("first"))
+        .select("user_id", "first", "events")
+    )
+    windowed = session_rollup(frame).select("user_id", F.unix_seconds("session_start").alias("first"), "events")
+    assert ours.exceptAll(windowed).count() == 0
+    assert windowed.exceptAll(ours).count() == 0

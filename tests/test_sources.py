@@ -1,0 +1,159 @@
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from clickline.operators import scale
+from clickline.plans import end_to_end
+from clickline.sources import files, schemas, testtables
+from helpers import executed_plan, rows
+
+
+def document(path) -> object:
+    return json.loads("".join(p.read_text() for p in sorted(Path(path).glob("part-*"))))
+
+
+def parts(path) -> list[Path]:
+    return sorted(Path(path).glob("part-*"))
+
+
+def test_csv_columns_are_matched_by_name_and_typed(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "note,gross_revenue,transaction_id,timestamp,customer_id\n"
+        "x,1.5,7,2024-01-01 00:00:00,u_1\n"
+        "x,oops,,2024-01-02 00:00:00,3\n"
+    )
+    got = files.read_csv(spark, str(tmp_path / "t.csv"), schemas.RAW_TRANSACTIONS)
+    assert got.schema == schemas.RAW_TRANSACTIONS
+    assert rows(got) == [(None, "3", "2024-01-02 00:00:00", None), (7, "u_1", "2024-01-01 00:00:00", 1.5)]
+    assert files.read_csv_text(spark, str(tmp_path / "t.csv")).dtypes[1] == ("gross_revenue", "string")
+
+
+def test_only_wanted_csv_columns_are_parsed(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("product_id,category,brand,base_price,junk\n1,a,b,2.0,zzz\n")
+    plan = executed_plan(files.read_csv(spark, str(tmp_path / "p.csv"), schemas.RAW_PRODUCTS))
+    assert "junk" not in plan.split("ReadSchema")[1]
+
+
+def test_csv_sink_writes_the_asked_number_of_files(spark, sf_dir, tmp_path):
+    frame = testtables.raw_events(spark, sf_dir)
+    files.write_csv(frame, str(tmp_path / "out"), files=4)
+    assert len(parts(tmp_path / "out")) == 4
+    back = files.read_csv(spark, str(tmp_path / "out"), schemas.RAW_EVENTS)
+    trimmed = frame.withColumns({c: F.trim(c) for c in ("event_type", "device_type", "traffic_source")})
+    again = back.withColumns({c: F.trim(c) for c in ("event_type", "device_type", "traffic_source")})
+    assert again.exceptAll(trimmed).count() == 0 and trimmed.exceptAll(again).count() == 0
+
+
+def test_table_sink_keeps_keys_together_and_small_results_in_one_file(spark, sf_dir, tmp_path):
+    frame = testtables.events(spark, sf_dir)
+    files.write_table(frame, str(tmp_path / "keyed"), key="user_id", files=4)
+    back = files.read_table(spark, str(tmp_path / "keyed"), schemas.EVENTS_CLEAN)
+    assert back.exceptAll(frame).count() == 0 and back.count() == frame.count()
+    per_user = back.select("user_id", F.input_file_name().alias("file")).distinct().groupBy("user_id").count()
+    assert per_user.agg(F.max("count")).first()[0] == 1
+    files.write_table(frame.groupBy("event_type").count(), str(tmp_path / "small"))
+    assert len(parts(tmp_path / "small")) == 1
+
+
+def test_a_dominant_key_is_split_over_files(spark, tmp_path):
+    hot = spark.range(400000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        files.write_table(hot, str(tmp_path / "hot"), key="user_id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    back = spark.read.parquet(str(tmp_path / "hot"))
+    assert back.count() == 400000
+    assert back.where("user_id = 'hot'").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_json_sinks(spark, tmp_path):
+    frame = spark.createDataFrame([("b", 2), ("a", 1)], "step string, count bigint")
+    files.write_json_lines(frame, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == 2
+    files.write_json_array(frame, str(tmp_path / "array"), [F.col("count")])
+    assert document(tmp_path / "array") == [{"step": "a", "count": 1}, {"step": "b", "count": 2}]
+    files.write_json_object(frame.limit(1), str(tmp_path / "object"))
+    assert document(tmp_path / "object") == {"step": "b", "count": 2}
+    assert '\n  "step"' in parts(tmp_path / "object")[0].read_text()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
+    files.write_bucketed(testtables.events(spark, sf_dir), "bucketed_events", "user_id", 4)
+    files.write_bucketed(testtables.orders(spark, sf_dir), "bucketed_orders", "user_id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketed_events").join(spark.table("bucketed_orders"), "user_id")
+        plan = executed_plan(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_events")
+        spark.sql("DROP TABLE bucketed_orders")
+
+
+def test_scale_up_multiplies_rows_and_suffixes_users(spark):
+    raw = spark.createDataFrame([("7", 1), (None, 2)], "customer_id string, transaction_id bigint")
+    got = scale.scale_up(raw, 3)
+    assert got.columns == raw.columns
+    assert rows(got) == [(None, 2)] * 3 + [("7_1", 1), ("7_2", 1), ("7_3", 1)]
+    both = scale.scale_up(raw, 2, also=("transaction_id",))
+    assert rows(both) == [(None, "2_1"), (None, "2_2"), ("7_1", "1_1"), ("7_2", "1_2")]
+
+
+def test_profile(spark):
+    frame = spark.createDataFrame(
+        [("a", "2024-01-01"), ("a", None), (None, "2024-01-03")], "user_id string, timestamp string"
+    ).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    got = files.profile(frame).collect()[0]
+    assert (got.row_count, got.users, got.null_users, got.null_times) == (3, 1, 1, 1)
+    assert str(got.first_time) == "2024-01-01 00:00:00" and str(got.last_time) == "2024-01-03 00:00:00"
+
+
+def test_whole_run_over_files(spark, sf_dir, tmp_path):
+    """CSV in, every stage table and report out, equal to the lazy composition."""
+    raw = {n: getattr(testtables, f"raw_{n}")(spark, sf_dir) for n in ("events", "transactions", "products")}
+    for name, frame in raw.items():
+        files.write_csv(frame, str(tmp_path / name))
+    out = tmp_path / "out"
+    end_to_end.run(spark, *[str(tmp_path / n) for n in raw], str(out))
+    lazy = end_to_end.build(raw["events"], raw["transactions"], raw["products"])
+
+    def same(df, name):
+        stored = spark.read.parquet(str(out / name))
+        assert stored.columns == df.columns
+        assert [f.dataType for f in stored.schema] == [f.dataType for f in df.schema]
+        assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0
+
+    same(lazy.events, "cleaned/events_clean")
+    same(lazy.orders, "cleaned/orders_clean")
+    same(lazy.catalog, "cleaned/catalog_clean")
+    same(lazy.funnel, "output/funnel_metrics")
+    same(lazy.attributed, "output/attributed_orders")
+    same(lazy.anomalies, "output/anomalies")
+    same(lazy.scored, "output/anomaly_metrics")
+    summary = document(out / "output/summary.json")
+    steps = document(out / "output/funnel.json")
+    assert [s["step"] for s in steps] == ["Views", "Carts", "Purchases"]
+    assert [s["count"] for s in steps] == [summary[k] for k in ("total_views", "total_carts", "total_purchases")]
+    assert isinstance(document(out / "output/anomalies.json"), list)
+
+
+def test_scaled_input_scales_the_sessions(spark, sf_dir, tmp_path):
+    from clickline.operators.clean import clean_events
+    from clickline.operators.sessionize import sessionize
+
+    files.write_csv(testtables.raw_events(spark, sf_dir), str(tmp_path / "one"))
+    end_to_end.scale_up_csv(spark, str(tmp_path / "one"), str(tmp_path / "ten"), copies=10)
+
+    def sessions(path):
+        events = clean_events(files.read_csv(spark, str(tmp_path / path), schemas.RAW_EVENTS))
+        return sessionize(events).select("session_id").distinct().count()
+
+    assert sessions("ten") == 10 * sessions("one")
