@@ -39,44 +39,43 @@ def last_touch(
     """
     width = lookback_seconds + 1
     orders = orders.withColumnRenamed("timestamp", "order_time")
-    touch = F.struct("event_time", "session_id", "marketing_channel")
-    seen = touches.where(F.col("event_time").isNotNull()).select(
-        "user_id", whole_seconds("event_time").alias("_at"), touch.alias("_touch"), F.lit(False).alias("_wanted")
+    seen = (
+        touches.where(F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
+        .groupBy("user_id", whole_seconds("event_time").alias("_at"))
+        .agg(F.max(F.struct("event_time", "session_id", "marketing_channel")).alias("_touch"))
+        .withColumn("_wanted", F.lit(False))
     )
-    wanted = orders.select(
-        "user_id",
-        whole_seconds("order_time").alias("_at"),
-        F.lit(None).cast(seen.schema["_touch"].dataType).alias("_touch"),
-        F.lit(True).alias("_wanted"),
+    wanted = (
+        orders.select("user_id", whole_seconds("order_time").alias("_at"))
+        .dropna()
+        .distinct()
+        .withColumn("_wanted", F.lit(True))
     )
-    marks = (
-        seen.unionByName(wanted)
-        .where(F.col("user_id").isNotNull() & F.col("_at").isNotNull())
-        .groupBy("user_id", "_at")
-        .agg(F.max("_touch").alias("_touch"), F.max("_wanted").alias("_wanted"))
+    block = Window.partitionBy("user_id", "_block").orderBy(F.col("_at").asc_nulls_first(), "_wanted")
+    up_to_here = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = F.last("_touch", ignorenulls=True).over(up_to_here)
+
+    # Inside its block, every order second meets the latest touch so far.
+    inside = (
+        seen.unionByName(wanted, allowMissingColumns=True)
         .withColumn("_block", slot_start(F.col("_at"), width))
+        .withColumns({"_latest": latest, "_next": F.lead("_at").over(block)})
+        .where(F.col("_wanted") | F.col("_next").isNull())
     )
-    # The last touch of a block opens the next block.
-    carried = (
-        marks.where(F.col("_touch").isNotNull())
-        .groupBy("user_id", "_block")
-        .agg(F.max("_touch").alias("_touch"))
-        .select(
-            "user_id",
-            F.lit(None).cast("long").alias("_at"),
-            "_touch",
-            F.lit(False).alias("_wanted"),
-            (F.col("_block") + width).alias("_block"),
-        )
-    )
-    up_to_here = (
-        Window.partitionBy("user_id", "_block")
-        .orderBy(F.col("_at").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The last touch of a block moves on as the opening row of the next one.
+    order_row = F.struct("_block", "_at", "_latest", "_wanted")
+    opening_row = F.struct(
+        (F.col("_block") + width).alias("_block"),
+        F.lit(None).cast("long").alias("_at"),
+        "_latest",
+        F.lit(False).alias("_wanted"),
     )
+    closes = F.col("_next").isNull() & F.col("_latest").isNotNull()
+    rows = F.array_compact(F.array(F.when(F.col("_wanted"), order_row), F.when(closes, opening_row)))
     found = (
-        marks.unionByName(carried)
-        .withColumn("_touch", F.last("_touch", ignorenulls=True).over(up_to_here))
+        inside.select("user_id", F.explode(rows).alias("_row"))
+        .select("user_id", "_row._block", "_row._at", "_row._wanted", F.col("_row._latest").alias("_touch"))
+        .withColumn("_touch", latest)
         .where(F.col("_wanted") & (F.col("_at") - whole_seconds("_touch.event_time") <= lookback_seconds))
         .select("user_id", "_at", "_touch.session_id", "_touch.marketing_channel")
     )

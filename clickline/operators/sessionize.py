@@ -1,26 +1,28 @@
 """Sessions by an inactivity gap.
 
 A new session opens for a user's first event and after every gap of more than
-``gap_seconds`` whole seconds. Session ids are ``<user>_<running number>``.
-
-All events of a user inside one slot of ``gap_seconds + 1`` seconds lie at most
-``gap_seconds`` apart and therefore share a session. So the events are first reduced,
-map-side, to one row per (user, slot); the running window sees only those rows, whose
-number per user is bounded by the calendar and not by the event count; and the session
-number goes back to the events by an equi-join on (user, slot), in which adaptive
-execution can split a busy slot. No task ever holds all events of one user.
+``gap_seconds`` whole seconds. Session ids are ``<user>_<running number>``. An event without
+a time is a session of its own; those come first.
+
+Most users go through one shuffle and one sort: a running window per user. A user with very
+many events would put all of them into one task there, so the busiest users are found by a
+count first (at most ``_BUSY_USERS`` of them, which also bounds every other user's share of
+the rows to ``1 / _BUSY_USERS``) and take a path whose window groups do not grow with their
+events. Where nobody is that busy, adaptive execution drops this path.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickline.functions.columns import slot_start, whole_seconds
 
 DEFAULT_GAP_SECONDS = 1800
+DEFAULT_BUSY_ROWS = 1_000_000
 
-# Layout of events without a time: hash groups per user, and copies per work item.
+_BUSY_USERS = 10_000
+# Layout of a busy user's events without a time: hash groups, and copies per work item.
 _SALTS = 1024
 _CHUNK = 16384
 
@@ -30,41 +32,76 @@ def sessionize(
     gap_seconds: int = DEFAULT_GAP_SECONDS,
     user: str = "user_id",
     time: str = "timestamp",
+    busy_rows: int = DEFAULT_BUSY_ROWS,
 ) -> DataFrame:
-    """``events`` plus ``session_id``. An event without a time is a session of its own, numbered first."""
+    """``events`` plus ``session_id``. Users with more than ``busy_rows`` events are split over tasks."""
+    busy = (
+        events.groupBy(F.col(user).alias("_busy_user"))
+        .agg(F.count(F.lit(1)).alias("_events"))
+        .where(F.col("_events") > busy_rows)
+        .orderBy(F.col("_events").desc(), "_busy_user")
+        .limit(_BUSY_USERS)
+        .select("_busy_user")
+    )
+    is_busy = F.col(user).eqNullSafe(F.col("_busy_user"))
+    usual = events.join(F.broadcast(busy), is_busy, "left_anti")
+    heavy = events.join(F.broadcast(busy), is_busy, "left_semi")
+    numbered = _number_by_user(usual, gap_seconds, user, time).unionByName(
+        _number_by_slot(heavy, gap_seconds, user, time)
+    )
+    session_id = F.concat_ws("_", F.col(user), F.col("_number"))
+    return numbered.select(*events.columns, session_id.alias("session_id"))
+
+
+def _opens(first: Column, previous: Column, gap_seconds: int) -> Column:
+    return previous.isNull() | (first - previous > gap_seconds)
+
+
+def _number_by_user(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
+    """Running session number over each user's events."""
+    in_order = Window.partitionBy(user).orderBy(F.col(time).asc_nulls_first())
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seconds = whole_seconds(time)
-    placed = events.withColumn("_slot", slot_start(seconds, gap_seconds + 1))
+    opened = F.when(_opens(seconds, F.lag(seconds).over(in_order), gap_seconds), 1).otherwise(0)
+    return events.withColumn("_opened", opened).select(
+        *events.columns, F.sum("_opened").over(so_far).alias("_number")
+    )
 
+
+def _number_by_slot(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
+    """The same numbers without bringing a user's events together.
+
+    All events of a user inside one slot of ``gap_seconds + 1`` seconds lie at most
+    ``gap_seconds`` apart and share a session. So events are reduced, map-side, to one row per
+    (user, slot); the running window sees only those rows, whose number per user is bounded by
+    the calendar; and the number goes back to the events by an equi-join on (user, slot), in
+    which adaptive execution can split a busy slot.
+    """
+    seconds = whole_seconds(time)
+    placed = events.withColumn("_slot", slot_start(seconds, gap_seconds + 1))
     slots = placed.groupBy(user, "_slot").agg(
         F.min(seconds).alias("_first"),
         F.max(seconds).alias("_last"),
         F.count(F.lit(1)).alias("_events"),
     )
     in_order = Window.partitionBy(user).orderBy(F.col("_slot").asc_nulls_first())
-    previous = F.lag("_last").over(in_order)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened = (
         F.when(F.col("_slot").isNull(), F.col("_events"))
-        .when(previous.isNull() | (F.col("_first") - previous > gap_seconds), F.lit(1))
-        .otherwise(F.lit(0))
+        .when(_opens(F.col("_first"), F.lag("_last").over(in_order), gap_seconds), 1)
+        .otherwise(0)
     )
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = slots.withColumn("_opened", opened).select(
         F.col(user).alias("_slot_user"),
         F.col("_slot").alias("_slot_key"),
         F.sum("_opened").over(so_far).alias("_number"),
     )
-
     timed = placed.where(F.col(time).isNotNull()).join(
         numbered.where(F.col("_slot_key").isNotNull()),
         F.col(user).eqNullSafe(F.col("_slot_user")) & (F.col("_slot") == F.col("_slot_key")),
     )
     untimed = _number_untimed(events.where(F.col(time).isNull()), user)
-    session_id = F.concat_ws("_", F.col(user), F.col("_number"))
-    return (
-        timed.select(*events.columns, "_number")
-        .unionByName(untimed)
-        .select(*events.columns, session_id.alias("session_id"))
-    )
+    return timed.select(*events.columns, "_number").unionByName(untimed)
 
 
 def _number_untimed(untimed: DataFrame, user: str) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickline.operators import anomaly, attribute, clean, funnel, report
 from clickline.operators.scale import scale_up
@@ -64,40 +65,46 @@ def run(
 ) -> None:
     """Run all stages over CSV files and write each stage under ``out_dir``.
 
-    ``on_stage`` is told the name of every finished stage.
+    ``files_per_table`` lays the per-user tables out by user into that many files; without it
+    they are written as they come. ``on_stage`` is told the name of every finished stage.
 
     Tables that feed more than one stage are written once and read back, so no stage is
     computed twice and a lost executor never sends the run back to the raw text.
     """
 
-    def stored(df: DataFrame, name: str, schema, key: str | None = None) -> DataFrame:
+    def stored(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
         path = f"{out_dir}/{name}"
-        files.write_table(df, path, key, files_per_table if key else None)
+        if files_per_table is None:
+            files.write_table(df, path)
+        else:
+            files.write_table(df, path, "user_id", files_per_table)
+        return files.read_table(spark, path, schema)
+
+    def stored_small(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+        path = f"{out_dir}/{name}"
+        files.write_small_table(df, path)
         return files.read_table(spark, path, schema)
 
     raw = files.read_csv(spark, events_csv, schemas.RAW_EVENTS)
-    events = stored(clean.clean_events(raw), "cleaned/events_clean", schemas.EVENTS_CLEAN, "user_id")
+    events = stored(clean.clean_events(raw), "cleaned/events_clean", schemas.EVENTS_CLEAN)
     raw = files.read_csv(spark, transactions_csv, schemas.RAW_TRANSACTIONS)
-    orders = stored(clean.clean_orders(raw), "cleaned/orders_clean", schemas.ORDERS_CLEAN, "user_id")
+    orders = stored(clean.clean_orders(raw), "cleaned/orders_clean", schemas.ORDERS_CLEAN)
     raw = files.read_csv(spark, products_csv, schemas.RAW_PRODUCTS)
-    catalog = stored(clean.clean_catalog(raw), "cleaned/catalog_clean", schemas.CATALOG_CLEAN)
+    catalog = stored_small(clean.clean_catalog(raw), "cleaned/catalog_clean", schemas.CATALOG_CLEAN)
     on_stage("preprocessing")
 
-    sessions = stored(
-        sessionize(events), "output/events_with_sessions", schemas.EVENTS_WITH_SESSIONS, "user_id"
-    )
+    sessions = stored(sessionize(events), "output/events_with_sessions", schemas.EVENTS_WITH_SESSIONS)
     on_stage("sessionization")
-    metrics = stored(funnel.funnel_metrics(sessions, catalog), "output/funnel_metrics", schemas.FUNNEL_METRICS)
-    on_stage("funnel")
-    stored(
-        attribute.last_touch(orders, attribute.touchpoints(sessions)),
-        "output/attributed_orders", schemas.ATTRIBUTED_ORDERS, "user_id",
+    metrics = stored_small(
+        funnel.funnel_metrics(sessions, catalog), "output/funnel_metrics", schemas.FUNNEL_METRICS
     )
+    on_stage("funnel")
+    attributed = attribute.last_touch(orders, attribute.touchpoints(sessions))
+    stored(attributed, "output/attributed_orders", schemas.ATTRIBUTED_ORDERS)
     on_stage("attribution")
-    stored(anomaly.anomaly_report(metrics), "output/anomalies", schemas.ANOMALIES)
-    scored = stored(anomaly.zscore_metrics(metrics), "output/anomaly_metrics", schemas.ANOMALY_METRICS)
-    flagged = stored(anomaly.zscore_anomalies(scored), "output/anomalies_only", schemas.ANOMALY_METRICS)
-
+    stored_small(anomaly.anomaly_report(metrics), "output/anomalies", schemas.ANOMALIES)
+    scored = stored_small(anomaly.zscore_metrics(metrics), "output/anomaly_metrics", schemas.ANOMALY_METRICS)
+    flagged = stored_small(anomaly.zscore_anomalies(scored), "output/anomalies_only", schemas.ANOMALY_METRICS)
     on_stage("anomalies")
 
     files.write_json_object(report.summary(metrics), f"{out_dir}/output/summary.json")

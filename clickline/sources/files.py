@@ -46,8 +46,18 @@ def spread(df: DataFrame, key: str | None = None, files: int | None = None) -> D
 
 
 def write_table(df: DataFrame, path: str, key: str | None = None, files: int | None = None) -> None:
-    """Overwrite a Parquet stage directory."""
-    spread(df, key, files).write.mode("overwrite").parquet(path)
+    """Overwrite a Parquet stage directory.
+
+    With ``key`` or ``files`` the rows are laid out by one more shuffle. Without them they are
+    written from where they are, which suits tables whose readers shuffle them anyway.
+    """
+    laid_out = df if key is None and files is None else spread(df, key, files)
+    laid_out.write.mode("overwrite").parquet(path)
+
+
+def write_small_table(df: DataFrame, path: str) -> None:
+    """Overwrite a Parquet directory of a result expected to be small: one file if it is."""
+    spread(df).write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:

@@ -13,8 +13,13 @@ from clickline.streaming.sessions import session_rollup
 from helpers import events, executed_plan, rows
 
 
-def ids(df):
-    return rows(sessionize(df), "user_id", "timestamp", "session_id")
+ALL_BUSY = {"busy_rows": 0}
+
+
+@pytest.fixture(params=[{}, ALL_BUSY], ids=["usual", "busy"])
+def options(request):
+    """Both paths of the operator must give the same answers."""
+    return request.param
 
 
 def numbers(df, **options):
@@ -23,7 +28,7 @@ def numbers(df, **options):
     return [r.session_id for r in got]
 
 
-def test_gap_is_inclusive(spark):
+def test_gap_is_inclusive(spark, options):
     frame = events(
         spark,
         [
@@ -33,10 +38,10 @@ def test_gap_is_inclusive(spark):
             ("u", "2024-01-01 01:30:00"),
         ],
     )
-    assert numbers(frame) == ["u_1", "u_1", "u_1", "u_2"]
+    assert numbers(frame, **options) == ["u_1", "u_1", "u_1", "u_2"]
 
 
-def test_gap_counts_whole_seconds(spark):
+def test_gap_counts_whole_seconds(spark, options):
     frame = events(
         spark,
         [
@@ -46,10 +51,10 @@ def test_gap_counts_whole_seconds(spark):
             ("b", "2024-01-01 10:30:00.9"),
         ],
     )
-    assert numbers(frame) == ["a_1", "a_2", "b_1", "b_1"]
+    assert numbers(frame, **options) == ["a_1", "a_2", "b_1", "b_1"]
 
 
-def test_ties_share_a_session_whatever_the_input_order(spark):
+def test_ties_share_a_session_whatever_the_input_order(spark, options):
     data = [
         ("u", "2024-01-01 10:00:00", "view", 1),
         ("u", "2024-01-01 11:00:00", "view", 2),
@@ -57,13 +62,13 @@ def test_ties_share_a_session_whatever_the_input_order(spark):
         ("u", "2024-01-01 11:00:00", "add_to_cart", 4),
     ]
     for order in (data, data[::-1]):
-        got = rows(sessionize(events(spark, order)), "product_id", "session_id")
+        got = rows(sessionize(events(spark, order), **options), "product_id", "session_id")
         assert got == [(1, "u_1"), (2, "u_2"), (3, "u_2"), (4, "u_2")]
 
 
-def test_each_untimed_event_is_its_own_leading_session(spark):
+def test_each_untimed_event_is_its_own_leading_session(spark, options):
     frame = events(spark, [("u", None), ("u", "2024-01-01 10:00:00"), ("u", None, "purchase"), ("u", None, "purchase")])
-    got = sessionize(frame)
+    got = sessionize(frame, **options)
     untimed = rows(got.where("timestamp is null"), "session_id")
     assert untimed == [("u_1",), ("u_2",), ("u_3",)]
     assert rows(got.where("timestamp is not null"), "session_id") == [("u_4",)]
@@ -73,22 +78,22 @@ def test_many_untimed_copies_are_numbered_without_gaps(spark, monkeypatch):
     monkeypatch.setattr(module, "_CHUNK", 7)
     monkeypatch.setattr(module, "_SALTS", 5)
     frame = events(spark, [("u", None, "view", p) for p in range(40)] + [("u", None)] * 50 + [("v", None)] * 3)
-    got = sessionize(frame)
+    got = sessionize(frame, **ALL_BUSY)
     assert sorted(int(r.session_id.split("_")[1]) for r in got.where("user_id = 'u'").collect()) == list(range(1, 91))
     assert sorted(r.session_id for r in got.where("user_id = 'v'").collect()) == ["v_1", "v_2", "v_3"]
 
 
-def test_null_user_and_times_before_1970(spark):
+def test_null_user_and_times_before_1970(spark, options):
     frame = events(
         spark,
         [(None, "1969-12-31 23:45:00"), (None, "1970-01-01 00:10:00"), (None, "1970-01-01 00:40:01")],
     )
-    got = sessionize(frame).orderBy("timestamp").collect()
+    got = sessionize(frame, **options).orderBy("timestamp").collect()
     assert [r.session_id for r in got] == ["1", "1", "2"]
 
 
 @pytest.mark.parametrize("gap", [0, 1, 59, 1800, 86400])
-def test_equals_a_row_by_row_walk(spark, gap):
+def test_equals_a_row_by_row_walk(spark, gap, options):
     draw = random.Random(gap)
     start = dt.datetime(2024, 1, 1)
     data = []
@@ -105,13 +110,19 @@ def test_equals_a_row_by_row_walk(spark, gap):
         last[user] = at
         expected.append((user, at, f"{user}_{number[user]}"))
     draw.shuffle(data)
-    got = rows(sessionize(events(spark, data), gap_seconds=gap), "user_id", "timestamp", "session_id")
+    got = rows(sessionize(events(spark, data), gap_seconds=gap, **options), "user_id", "timestamp", "session_id")
     assert got == sorted(expected, key=lambda t: tuple((True, str(v)) for v in t))
 
 
-def test_window_never_sees_raw_events(spark, sf_dir):
-    """Events are reduced per (user, slot) before the only per-user window."""
-    plan = executed_plan(sessionize(testtables.events(spark, sf_dir).dropna(subset=["timestamp"])))
+def test_usual_path_is_one_shuffle_and_one_sort(spark, sf_dir):
+    numbered = module._number_by_user(testtables.events(spark, sf_dir), 1800, "user_id", "timestamp")
+    plan = executed_plan(numbered)
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
+def test_busy_path_reduces_events_before_the_window(spark, sf_dir):
+    frame = testtables.events(spark, sf_dir).dropna(subset=["timestamp"])
+    plan = executed_plan(module._number_by_slot(frame, 1800, "user_id", "timestamp"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     at = plan.find("Window [")
     assert at >= 0
@@ -121,18 +132,30 @@ def test_window_never_sees_raw_events(spark, sf_dir):
 
 
 def test_one_user_with_most_rows(spark):
-    """A dominant user in a dominant half hour comes out whole."""
+    """A dominant user in a dominant half hour comes out whole, next to usual users."""
     busy = spark.range(20000).select(
-        F.lit("hot").alias("user_id"),
+        F.when(F.col("id") < 15000, "hot").otherwise((F.col("id") % 500).cast("string")).alias("user_id"),
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 600).alias("timestamp"),
         F.lit("view").alias("event_type"),
         F.col("id").alias("product_id"),
         F.lit("mobile").alias("device"),
         F.lit("email").alias("referrer"),
     )
-    later = busy.limit(10).withColumn("timestamp", F.timestamp_seconds(F.lit(1704067200 + 7200)))
-    got = sessionize(busy.unionByName(later)).groupBy("session_id").count()
-    assert rows(got) == [("hot_1", 20000), ("hot_2", 10)]
+    second = busy.where("user_id = 'hot' and product_id < 10").withColumn(
+        "timestamp", F.timestamp_seconds(F.lit(1704067200 + 7200))
+    )
+    got = sessionize(busy.unionByName(second), busy_rows=1000)
+    counted = got.groupBy("user_id", "session_id").count()
+    assert rows(counted.where("user_id = 'hot'"), "session_id", "count") == [("hot_1", 15000), ("hot_2", 10)]
+    assert counted.where("user_id != 'hot' and count = 10 and session_id = concat(user_id, '_1')").count() == 500
+    assert got.count() == 20010
+
+
+def test_both_paths_agree_on_the_test_tables(spark):
+    frame = testtables.events(spark, "/root/testdata/sf0.01")
+    # 150 users; about half of them lie above the threshold.
+    usual, mixed = sessionize(frame), sessionize(frame, busy_rows=66)
+    assert usual.exceptAll(mixed).count() == 0 and mixed.exceptAll(usual).count() == 0
 
 
 def test_session_window_agrees(spark, sf_dir):

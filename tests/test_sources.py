@@ -54,7 +54,7 @@ def test_table_sink_keeps_keys_together_and_small_results_in_one_file(spark, sf_
     assert back.exceptAll(frame).count() == 0 and back.count() == frame.count()
     per_user = back.select("user_id", F.input_file_name().alias("file")).distinct().groupBy("user_id").count()
     assert per_user.agg(F.max("count")).first()[0] == 1
-    files.write_table(frame.groupBy("event_type").count(), str(tmp_path / "small"))
+    files.write_small_table(frame.groupBy("event_type").count(), str(tmp_path / "small"))
     assert len(parts(tmp_path / "small")) == 1
 
 
