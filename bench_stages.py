@@ -62,19 +62,13 @@ def main() -> None:
         files.write_csv(source("transactions", args.order_copies), f"{raw_dir}/transactions", 8)
         files.write_csv(testtables.raw_products(spark, args.data_dir), f"{raw_dir}/products")
 
-    timings: dict[str, float] = {}
-    started = time.perf_counter()
-
-    def lap(stage: str) -> None:
-        nonlocal started
-        now = time.perf_counter()
-        timings[stage] = round(now - started, 2)
-        started = now
-
     out = Path(args.work_dir) / f"out_{int(time.time())}"
-    end_to_end.run(
-        spark, f"{raw_dir}/events", f"{raw_dir}/transactions", f"{raw_dir}/products", str(out), on_stage=lap
-    )
+    run = end_to_end.Run(*[f"{raw_dir}/{name}" for name in ("events", "transactions", "products")], str(out))
+    timings: dict[str, float] = {}
+    for stage, compute in end_to_end.ALL_STAGES.items():
+        started = time.perf_counter()
+        compute(spark, run)
+        timings[stage] = round(time.perf_counter() - started, 2)
     rows = spark.read.parquet(f"{out}/output/events_with_sessions").count()
     orders = spark.read.parquet(f"{out}/output/attributed_orders").count()
     spark.stop()

@@ -59,11 +59,13 @@ def _opens(first: Column, previous: Column, gap_seconds: int) -> Column:
 
 def _number_by_user(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
     """Running session number over each user's events."""
-    in_order = Window.partitionBy(user).orderBy(F.col(time).asc_nulls_first())
+    # Untimed events all tie; ordering them by content keeps their numbers the same on a retry.
+    content = F.when(F.col(time).isNull(), F.xxhash64(*events.columns))
+    in_order = Window.partitionBy(user).orderBy(F.col(time).asc_nulls_first(), "_content")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seconds = whole_seconds(time)
     opened = F.when(_opens(seconds, F.lag(seconds).over(in_order), gap_seconds), 1).otherwise(0)
-    return events.withColumn("_opened", opened).select(
+    return events.withColumn("_content", content).withColumn("_opened", opened).select(
         *events.columns, F.sum("_opened").over(so_far).alias("_number")
     )
 

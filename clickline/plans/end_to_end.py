@@ -1,4 +1,10 @@
-"""The whole run: clean, sessionize, funnel, attribution, anomalies, report."""
+"""The whole run: clean, sessionize, funnel, attribution, anomalies, report.
+
+``build`` composes everything into lazy DataFrames. The ``*_stage`` functions do the same
+file to file: each reads what earlier stages stored under ``out_dir`` and stores its own
+tables there, so nothing is computed twice, a lost executor never sends a later stage back to
+the raw text, and a failed run can be taken up at the stage that failed.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickline.operators import anomaly, attribute, clean, funnel, report
 from clickline.operators.scale import scale_up
@@ -54,66 +59,96 @@ def build(
     )
 
 
-def run(
-    spark: SparkSession,
-    events_csv: str,
-    transactions_csv: str,
-    products_csv: str,
-    out_dir: str,
-    files_per_table: int | None = None,
-    on_stage: Callable[[str], None] = lambda stage: None,
-) -> None:
-    """Run all stages over CSV files and write each stage under ``out_dir``.
-
-    ``files_per_table`` lays the per-user tables out by user into that many files; without it
-    they are written as they come. ``on_stage`` is told the name of every finished stage.
+@dataclass(frozen=True)
+class Run:
+    """Where a file-to-file run reads and writes.
 
-    Tables that feed more than one stage are written once and read back, so no stage is
-    computed twice and a lost executor never sends the run back to the raw text.
+    ``files_per_table`` lays the per-user tables out by user into about that many files;
+    without it they are written as they come, which saves a shuffle.
     """
 
-    def stored(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
-        path = f"{out_dir}/{name}"
-        if files_per_table is None:
-            files.write_table(df, path)
-        else:
-            files.write_table(df, path, "user_id", files_per_table)
-        return files.read_table(spark, path, schema)
-
-    def stored_small(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
-        path = f"{out_dir}/{name}"
-        files.write_small_table(df, path)
-        return files.read_table(spark, path, schema)
-
-    raw = files.read_csv(spark, events_csv, schemas.RAW_EVENTS)
-    events = stored(clean.clean_events(raw), "cleaned/events_clean", schemas.EVENTS_CLEAN)
-    raw = files.read_csv(spark, transactions_csv, schemas.RAW_TRANSACTIONS)
-    orders = stored(clean.clean_orders(raw), "cleaned/orders_clean", schemas.ORDERS_CLEAN)
-    raw = files.read_csv(spark, products_csv, schemas.RAW_PRODUCTS)
-    catalog = stored_small(clean.clean_catalog(raw), "cleaned/catalog_clean", schemas.CATALOG_CLEAN)
-    on_stage("preprocessing")
-
-    sessions = stored(sessionize(events), "output/events_with_sessions", schemas.EVENTS_WITH_SESSIONS)
-    on_stage("sessionization")
-    metrics = stored_small(
-        funnel.funnel_metrics(sessions, catalog), "output/funnel_metrics", schemas.FUNNEL_METRICS
-    )
-    on_stage("funnel")
-    attributed = attribute.last_touch(orders, attribute.touchpoints(sessions))
-    stored(attributed, "output/attributed_orders", schemas.ATTRIBUTED_ORDERS)
-    on_stage("attribution")
-    stored_small(anomaly.anomaly_report(metrics), "output/anomalies", schemas.ANOMALIES)
-    scored = stored_small(anomaly.zscore_metrics(metrics), "output/anomaly_metrics", schemas.ANOMALY_METRICS)
-    flagged = stored_small(anomaly.zscore_anomalies(scored), "output/anomalies_only", schemas.ANOMALY_METRICS)
-    on_stage("anomalies")
-
-    files.write_json_object(report.summary(metrics), f"{out_dir}/output/summary.json")
-    files.write_json_array(report.funnel_steps(metrics), f"{out_dir}/output/funnel.json")
-    files.write_json_array(
-        report.anomaly_export(flagged), f"{out_dir}/output/anomalies.json",
-        [F.col("z_score").desc(), F.col("date"), F.col("category"), F.col("device"), F.col("referrer")],
-    )
-    on_stage("export")
+    events_csv: str
+    transactions_csv: str
+    products_csv: str
+    out_dir: str
+    files_per_table: int | None = None
+
+    def load(self, spark: SparkSession, table: str) -> DataFrame:
+        return files.read_table(spark, f"{self.out_dir}/{table}", _TABLES[table])
+
+    def store(self, df: DataFrame, table: str) -> None:
+        """A table with one row per event or order."""
+        key = None if self.files_per_table is None else "user_id"
+        files.write_table(df, f"{self.out_dir}/{table}", key, self.files_per_table)
+
+    def store_small(self, df: DataFrame, table: str) -> None:
+        """A catalog or daily table."""
+        files.write_small_table(df, f"{self.out_dir}/{table}")
+
+
+_TABLES = {
+    "cleaned/events_clean": schemas.EVENTS_CLEAN,
+    "cleaned/orders_clean": schemas.ORDERS_CLEAN,
+    "cleaned/catalog_clean": schemas.CATALOG_CLEAN,
+    "output/events_with_sessions": schemas.EVENTS_WITH_SESSIONS,
+    "output/funnel_metrics": schemas.FUNNEL_METRICS,
+    "output/attributed_orders": schemas.ATTRIBUTED_ORDERS,
+    "output/anomalies": schemas.ANOMALIES,
+    "output/anomaly_metrics": schemas.ANOMALY_METRICS,
+    "output/anomalies_only": schemas.ANOMALY_METRICS,
+}
+
+
+def preprocessing_stage(spark: SparkSession, run: Run) -> None:
+    events = files.read_csv(spark, run.events_csv, schemas.RAW_EVENTS)
+    run.store(clean.clean_events(events), "cleaned/events_clean")
+    orders = files.read_csv(spark, run.transactions_csv, schemas.RAW_TRANSACTIONS)
+    run.store(clean.clean_orders(orders), "cleaned/orders_clean")
+    products = files.read_csv(spark, run.products_csv, schemas.RAW_PRODUCTS)
+    run.store_small(clean.clean_catalog(products), "cleaned/catalog_clean")
+
+
+def sessionization_stage(spark: SparkSession, run: Run) -> None:
+    run.store(sessionize(run.load(spark, "cleaned/events_clean")), "output/events_with_sessions")
+
+
+def funnel_stage(spark: SparkSession, run: Run) -> None:
+    sessions = run.load(spark, "output/events_with_sessions")
+    catalog = run.load(spark, "cleaned/catalog_clean")
+    run.store_small(funnel.funnel_metrics(sessions, catalog), "output/funnel_metrics")
+
+
+def attribution_stage(spark: SparkSession, run: Run) -> None:
+    touches = attribute.touchpoints(run.load(spark, "output/events_with_sessions"))
+    orders = run.load(spark, "cleaned/orders_clean")
+    run.store(attribute.last_touch(orders, touches), "output/attributed_orders")
+
+
+def anomaly_stage(spark: SparkSession, run: Run) -> None:
+    metrics = run.load(spark, "output/funnel_metrics")
+    run.store_small(anomaly.anomaly_report(metrics), "output/anomalies")
+    run.store_small(anomaly.zscore_metrics(metrics), "output/anomaly_metrics")
+    flagged = anomaly.zscore_anomalies(run.load(spark, "output/anomaly_metrics"))
+    run.store_small(flagged, "output/anomalies_only")
+
+
+def export_stage(spark: SparkSession, run: Run) -> None:
+    metrics = run.load(spark, "output/funnel_metrics")
+    top = report.anomaly_export(run.load(spark, "output/anomalies_only"))
+    files.write_json_object(report.summary(metrics), f"{run.out_dir}/output/summary.json")
+    files.write_json_array(report.funnel_steps(metrics), f"{run.out_dir}/output/funnel.json")
+    order = [F.col("z_score").desc(), "date", "category", "device", "referrer"]
+    files.write_json_array(top, f"{run.out_dir}/output/anomalies.json", order)
+
+
+ALL_STAGES: dict[str, Callable[[SparkSession, Run], None]] = {
+    "preprocessing": preprocessing_stage,
+    "sessionization": sessionization_stage,
+    "funnel": funnel_stage,
+    "attribution": attribution_stage,
+    "anomalies": anomaly_stage,
+    "export": export_stage,
+}
 
 
 def scale_up_csv(

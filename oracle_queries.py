@@ -324,8 +324,9 @@ def build(category: str, user_id: str, start: str, end: str, copies: int, top: i
             FROM attributed GROUP BY marketing_channel ORDER BY total_revenue DESC""",
         "q_topn_per_group": f"""WITH {TOUCHES}
             SELECT * FROM (
-              SELECT *, row_number() OVER (PARTITION BY user_id
-                ORDER BY event_time DESC, session_id DESC, marketing_channel DESC) AS rank FROM touch)
+              SELECT *, CAST(row_number() OVER (PARTITION BY user_id
+                ORDER BY event_time DESC, session_id DESC, marketing_channel DESC) AS INTEGER) AS rank
+              FROM touch)
             WHERE rank <= {top}""",
         "q_daily_category": f"WITH {FUNNEL}, {DAILY_ONLY} SELECT * FROM daily",
         "q_trailing_baseline": f"WITH {FUNNEL}, {BASELINE_ONLY} SELECT * FROM base",

@@ -3,12 +3,16 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickline.operators import scale
+from clickline.operators.clean import clean_events
+from clickline.operators.sessionize import sessionize
 from clickline.plans import end_to_end
 from clickline.sources import files, schemas, testtables
 from helpers import executed_plan, rows
+from main import main
 
 
 def document(path) -> object:
@@ -122,7 +126,7 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path):
     for name, frame in raw.items():
         files.write_csv(frame, str(tmp_path / name))
     out = tmp_path / "out"
-    end_to_end.run(spark, *[str(tmp_path / n) for n in raw], str(out))
+    main(["run", *[str(tmp_path / n) for n in raw], str(out)], spark)
     lazy = end_to_end.build(raw["events"], raw["transactions"], raw["products"])
 
     def same(df, name):
@@ -138,6 +142,10 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path):
     same(lazy.attributed, "output/attributed_orders")
     same(lazy.anomalies, "output/anomalies")
     same(lazy.scored, "output/anomaly_metrics")
+    # Taking a stage up again over stored tables, now laid out by user, changes nothing.
+    main(["run", *[str(tmp_path / n) for n in raw], str(out), "--stage", "attribution", "--files-per-table", "3"], spark)
+    same(lazy.attributed, "output/attributed_orders")
+
     summary = document(out / "output/summary.json")
     steps = document(out / "output/funnel.json")
     assert [s["step"] for s in steps] == ["Views", "Carts", "Purchases"]
@@ -146,14 +154,24 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path):
 
 
 def test_scaled_input_scales_the_sessions(spark, sf_dir, tmp_path):
-    from clickline.operators.clean import clean_events
-    from clickline.operators.sessionize import sessionize
-
     files.write_csv(testtables.raw_events(spark, sf_dir), str(tmp_path / "one"))
-    end_to_end.scale_up_csv(spark, str(tmp_path / "one"), str(tmp_path / "ten"), copies=10)
+    main(["scale-up", str(tmp_path / "one"), str(tmp_path / "ten"), "--copies", "10"], spark)
+    assert len(parts(tmp_path / "ten")) == 4
 
     def sessions(path):
         events = clean_events(files.read_csv(spark, str(tmp_path / path), schemas.RAW_EVENTS))
         return sessionize(events).select("session_id").distinct().count()
 
     assert sessions("ten") == 10 * sessions("one")
+
+
+def test_show_prints_schema_count_and_rows(spark, tmp_path, capsys):
+    files.write_table(spark.range(3).toDF("n"), str(tmp_path / "output" / "t"))
+    main(["show", str(tmp_path), "output/t"], spark)
+    printed = capsys.readouterr().out
+    assert "rows: 3" in printed and "n: long" in printed and "|2  |" in printed
+
+
+def test_a_failing_stage_raises(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        main(["run", "/none/e", "/none/t", "/none/p", str(tmp_path / "out")], spark)
