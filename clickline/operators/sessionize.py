@@ -54,7 +54,8 @@ def sessionize(
 
 
 def _opens(first: Column, previous: Column, gap_seconds: int) -> Column:
-    return previous.isNull() | (first - previous > gap_seconds)
+    """True after a long gap, and where there is nothing to measure a gap from."""
+    return F.coalesce(first - previous > gap_seconds, F.lit(True))
 
 
 def _number_by_user(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
