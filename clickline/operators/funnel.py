@@ -30,15 +30,24 @@ def with_date(events: DataFrame) -> DataFrame:
 
 
 def session_flags(enriched: DataFrame) -> DataFrame:
-    """0/1 flags per session and dimension; groups without a funnel event stay as zeros."""
+    """0/1 flags per session and dimension; groups without a funnel event stay as zeros.
+
+    A session has one user. Grouping by the user as well changes no group, and lets events that
+    sessionizing has already brought together by user be grouped without another shuffle.
+    """
 
     def seen(event_type: str) -> Column:
         return F.max(F.when(F.col("event_type") == event_type, 1).otherwise(0))
 
-    return with_date(enriched).groupBy("session_id", *DIMENSIONS).agg(
-        seen("view").alias("has_view"),
-        seen("add_to_cart").alias("has_cart"),
-        seen("purchase").alias("has_purchase"),
+    return (
+        with_date(enriched)
+        .groupBy("user_id", "session_id", *DIMENSIONS)
+        .agg(
+            seen("view").alias("has_view"),
+            seen("add_to_cart").alias("has_cart"),
+            seen("purchase").alias("has_purchase"),
+        )
+        .drop("user_id")
     )
 
 

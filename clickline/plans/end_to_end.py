@@ -1,6 +1,6 @@
 """The whole run: clean, sessionize, funnel, attribution, anomalies, report.
 
-``build`` composes everything into lazy DataFrames. The ``*_stage`` functions do the same
+``Stages`` composes everything into lazy DataFrames. The ``*_stage`` functions do the same
 file to file: each reads what earlier stages stored under ``out_dir`` and stores its own
 tables there, so nothing is computed twice, a lost executor never sends a later stage back to
 the raw text, and a failed run can be taken up at the stage that failed.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,43 +21,47 @@ from clickline.operators.sessionize import DEFAULT_GAP_SECONDS, sessionize
 from clickline.sources import files, schemas
 
 
-@dataclass(frozen=True)
+@dataclass
 class Stages:
-    """Every stage table, as lazy DataFrames over the raw inputs."""
-
-    events: DataFrame
-    orders: DataFrame
-    catalog: DataFrame
-    sessions: DataFrame
-    funnel: DataFrame
-    attributed: DataFrame
-    anomalies: DataFrame
-    scored: DataFrame
-
-
-def build(
-    raw_events: DataFrame,
-    raw_transactions: DataFrame,
-    raw_products: DataFrame,
-    gap_seconds: int = DEFAULT_GAP_SECONDS,
-    lookback_seconds: int = attribute.DEFAULT_LOOKBACK_SECONDS,
-) -> Stages:
-    """Compose all stages; nothing runs until one of the tables is used."""
-    events = clean.clean_events(raw_events)
-    orders = clean.clean_orders(raw_transactions)
-    catalog = clean.clean_catalog(raw_products)
-    sessions = sessionize(events, gap_seconds)
-    metrics = funnel.funnel_metrics(sessions, catalog)
-    return Stages(
-        events=events,
-        orders=orders,
-        catalog=catalog,
-        sessions=sessions,
-        funnel=metrics,
-        attributed=attribute.last_touch(orders, attribute.touchpoints(sessions), lookback_seconds),
-        anomalies=anomaly.anomaly_report(metrics),
-        scored=anomaly.zscore_metrics(metrics),
-    )
+    """Every stage table as a lazy DataFrame over the raw inputs, composed when asked for."""
+
+    raw_events: DataFrame
+    raw_transactions: DataFrame
+    raw_products: DataFrame
+    gap_seconds: int = DEFAULT_GAP_SECONDS
+    lookback_seconds: int = attribute.DEFAULT_LOOKBACK_SECONDS
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return clean.clean_events(self.raw_events)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return clean.clean_orders(self.raw_transactions)
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return clean.clean_catalog(self.raw_products)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return sessionize(self.events, self.gap_seconds)
+
+    @cached_property
+    def funnel(self) -> DataFrame:
+        return funnel.funnel_metrics(self.sessions, self.catalog)
+
+    @cached_property
+    def attributed(self) -> DataFrame:
+        return attribute.last_touch(self.orders, attribute.touchpoints(self.sessions), self.lookback_seconds)
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return anomaly.anomaly_report(self.funnel)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return anomaly.zscore_metrics(self.funnel)
 
 
 @dataclass(frozen=True)
@@ -126,7 +131,8 @@ def attribution_stage(spark: SparkSession, run: Run) -> None:
 
 def anomaly_stage(spark: SparkSession, run: Run) -> None:
     metrics = run.load(spark, "output/funnel_metrics")
-    run.store_small(anomaly.anomaly_report(metrics), "output/anomalies")
+    # Sorted already: written as it comes, in order, and in one file while it is small.
+    files.write_table(anomaly.anomaly_report(metrics), f"{run.out_dir}/output/anomalies")
     run.store_small(anomaly.zscore_metrics(metrics), "output/anomaly_metrics")
     flagged = anomaly.zscore_anomalies(run.load(spark, "output/anomaly_metrics"))
     run.store_small(flagged, "output/anomalies_only")

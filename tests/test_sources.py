@@ -127,7 +127,7 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path):
         files.write_csv(frame, str(tmp_path / name))
     out = tmp_path / "out"
     main(["run", *[str(tmp_path / n) for n in raw], str(out)], spark)
-    lazy = end_to_end.build(raw["events"], raw["transactions"], raw["products"])
+    lazy = end_to_end.Stages(raw["events"], raw["transactions"], raw["products"])
 
     def same(df, name):
         stored = spark.read.parquet(str(out / name))
@@ -142,6 +142,9 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path):
     same(lazy.attributed, "output/attributed_orders")
     same(lazy.anomalies, "output/anomalies")
     same(lazy.scored, "output/anomaly_metrics")
+    assert len(parts(out / "output/anomalies")) == 1
+    listed = [(r.date, r.category) for r in spark.read.parquet(str(out / "output/anomalies")).collect()]
+    assert len(listed) > 100 and listed == sorted(listed, key=lambda t: (t[0], t[1] is not None, t[1] or ""))
     # Taking a stage up again over stored tables, now laid out by user, changes nothing.
     main(["run", *[str(tmp_path / n) for n in raw], str(out), "--stage", "attribution", "--files-per-table", "3"], spark)
     same(lazy.attributed, "output/attributed_orders")
