@@ -64,8 +64,8 @@ def _number_by_user(events: DataFrame, gap_seconds: int, user: str, time: str) -
     content = F.when(F.col(time).isNull(), F.xxhash64(*events.columns))
     in_order = Window.partitionBy(user).orderBy(F.col(time).asc_nulls_first(), "_content")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seconds = whole_seconds(time)
-    opened = F.when(_opens(seconds, F.lag(seconds).over(in_order), gap_seconds), 1).otherwise(0)
+    previous = F.unix_seconds(F.lag(time).over(in_order))
+    opened = F.when(_opens(whole_seconds(time), previous, gap_seconds), 1).otherwise(0)
     return events.withColumn("_content", content).withColumn("_opened", opened).select(
         *events.columns, F.sum("_opened").over(so_far).alias("_number")
     )
@@ -133,7 +133,10 @@ def _number_untimed(untimed: DataFrame, user: str) -> DataFrame:
     )
     chunks = placed.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {_CHUNK}")))
-    ).repartition(*columns, "_chunk")
+    )
+    # A fixed partition count: adaptive execution would size partitions by the still folded rows.
+    partitions = int(untimed.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    chunks = chunks.repartition(partitions, *columns, "_chunk")
     first = F.col("_chunk") * _CHUNK + 1
     last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * _CHUNK)
     return chunks.withColumn("_copy", F.explode(F.sequence(first, last))).select(
