@@ -73,9 +73,8 @@ def anomaly_report(metrics: DataFrame) -> DataFrame:
 
 
 def rolling_rows(timeline: DataFrame, rows: int = 7) -> DataFrame:
-    """Chart baseline: mean of the last ``rows`` rows by date, the current one included."""
-    # A constant key states that this is one series: one row per day of one category.
-    window = Window.partitionBy(F.lit(0)).orderBy("date").rowsBetween(-(rows - 1), Window.currentRow)
+    """Chart baseline: mean of a category's last ``rows`` rows by date, the current one included."""
+    window = Window.partitionBy("category").orderBy("date").rowsBetween(-(rows - 1), Window.currentRow)
     return timeline.withColumn("7d_baseline", F.avg("conversion_rate").over(window))
 
 
@@ -96,7 +95,7 @@ def anomaly_overlay(
     points = anomalies.where(F.col("category") == category)
     if start is not None and end is not None:
         points = points.where(F.col("date").between(start, end))
-    return points.join(timeline, "date")
+    return points.join(timeline, ["category", "date"])
 
 
 def zscore_metrics(

@@ -93,9 +93,10 @@ def category_totals(metrics: DataFrame) -> DataFrame:
     )
 
 
-def category_timeline(metrics: DataFrame, category: str) -> DataFrame:
-    """One category's daily views, purchases and unrounded conversion rate."""
-    daily = metrics.where(F.col("category") == category).groupBy("date").agg(
+def category_timeline(metrics: DataFrame, category: str | None = None) -> DataFrame:
+    """Daily views, purchases and unrounded conversion rate of one category, or of each."""
+    chosen = metrics if category is None else metrics.where(F.col("category") == category)
+    daily = chosen.groupBy("category", "date").agg(
         F.sum("total_views").alias("views"),
         F.sum("total_purchases").alias("purchases"),
     )

@@ -264,25 +264,26 @@ totals AS (
 )"""
 
 
-def timeline(category: str) -> str:
+def timeline(condition: str = "true") -> str:
     return f"""
 timeline AS (
-  SELECT date, views, purchases,
+  SELECT category, date, views, purchases,
          CASE WHEN views > 0 THEN CAST(purchases AS DOUBLE) / views ELSE 0.0::DOUBLE END AS conversion_rate
-  FROM (SELECT date, CAST(sum(total_views) AS BIGINT) AS views,
+  FROM (SELECT category, date, CAST(sum(total_views) AS BIGINT) AS views,
                CAST(sum(total_purchases) AS BIGINT) AS purchases
-        FROM funnel WHERE category = '{category}' GROUP BY date)
+        FROM funnel WHERE {condition} GROUP BY category, date)
 ),
 rolling AS (
-  SELECT *, avg(conversion_rate) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS "7d_baseline"
+  SELECT *, avg(conversion_rate) OVER (PARTITION BY category ORDER BY date
+             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS "7d_baseline"
   FROM timeline
 )"""
 
 
 def build(category: str, user_id: str, start: str, end: str, copies: int, top: int) -> dict[str, str]:
     """All oracle queries; the arguments are those of the registered Spark queries."""
-    line = timeline(category)
-    rolled = 'date, views, purchases, round(conversion_rate, 10) AS conversion_rate, ' \
+    line = timeline(f"category = '{category}'")
+    rolled = 'category, date, views, purchases, round(conversion_rate, 10) AS conversion_rate, ' \
              'round("7d_baseline", 10) AS "7d_baseline"'
     profile = """
       count(*) AS row_count, count(DISTINCT user_id) AS users, min({t}) AS first_time, max({t}) AS last_time,
@@ -333,12 +334,13 @@ def build(category: str, user_id: str, start: str, end: str, copies: int, top: i
         "q_anomaly_pct": f"WITH {FUNNEL}, {ANOMALY_ONLY} SELECT * FROM anom",
         "q_anomaly_explain": f"WITH {FUNNEL}, {ANOMALY_ONLY} {EXPLAINED}",
         "q_category_timeline": f"""WITH {FUNNEL}, {line}
-            SELECT date, views, purchases, round(conversion_rate, 10) AS conversion_rate FROM timeline""",
-        "q_rolling_7row": f"WITH {FUNNEL}, {line} SELECT {rolled} FROM rolling",
+            SELECT category, date, views, purchases, round(conversion_rate, 10) AS conversion_rate
+            FROM timeline""",
+        "q_rolling_7row": f"WITH {FUNNEL}, {timeline()} SELECT {rolled} FROM rolling",
         "q_category_date_slice": f"""WITH {FUNNEL}, {line}
             SELECT {rolled} FROM rolling WHERE date BETWEEN DATE '{start}' AND DATE '{end}'""",
         "q_anomaly_overlay": f"""WITH {FUNNEL}, {ANOMALY_ONLY}, {line}
-            SELECT a.*, {rolled.replace('date, ', '')}
+            SELECT a.*, {rolled.replace('category, date, ', '')}
             FROM anom a JOIN rolling r ON a.date = r.date WHERE a.category = '{category}'""",
         "q_anomaly_metrics": f"WITH {ZSCORE} SELECT * FROM scored",
         "q_anomaly_zscore": f"WITH {ZSCORE} SELECT * FROM zanom",

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickline.operators import anomaly, report
+from clickline.operators.funnel import category_timeline
 from clickline.sources import schemas
 from helpers import daily, rows
 
@@ -37,6 +38,13 @@ def test_baseline_is_per_category_and_null_is_one(spark):
     assert rows(got, "category", "trailing_7d_avg") == [(None, 0.3), ("toys", 0.1)]
 
 
+def test_undated_rows_are_their_own_baseline(spark):
+    frame = daily(spark, days((1, 0.1), (2, 0.3)) + [(None, "toys", 0.9)])
+    got = rows(anomaly.trailing_baseline(frame), "daily_conversion_rate", "trailing_7d_avg")
+    assert got == [(0.1, None), (0.3, 0.1), (0.9, 0.9)]
+    assert pct(frame.where("date is null")).count() == 0
+
+
 def test_baseline_does_not_depend_on_daylight_saving(spark):
     data = days(*[(d, 0.1 * (d - 4)) for d in range(5, 16)])
     expected = baselines(daily(spark, data))
@@ -104,11 +112,19 @@ def test_daily_rate_is_a_ratio_of_sums(spark):
 
 def test_chart_baseline_includes_today_and_counts_rows(spark):
     frame = funnel(spark, [(d, "toys", 10, d) for d in (1, 2, 3, 4, 5, 6, 9, 20)])
-    got = anomaly.rolling_rows(anomaly.category_timeline(frame, "toys")).orderBy("date").collect()
+    got = anomaly.rolling_rows(category_timeline(frame, "toys")).orderBy("date").collect()
     assert [round(r["7d_baseline"], 6) for r in got][:2] == [0.1, 0.15]
+    assert {r.category for r in got} == {"toys"}
     assert round(got[-1]["7d_baseline"], 6) == round((2 + 3 + 4 + 5 + 6 + 9 + 20) / 70, 6)
 
 
+def test_chart_baseline_of_all_categories_keeps_them_apart(spark):
+    frame = funnel(spark, [(1, "toys", 10, 1), (2, "toys", 10, 2), (1, None, 10, 8), (2, None, 10, 9)])
+    got = anomaly.rolling_rows(category_timeline(frame))
+    pairs = [(c, round(v, 6)) for c, v in rows(got, "category", "7d_baseline")]
+    assert pairs == [(None, 0.8), (None, 0.85), ("toys", 0.1), ("toys", 0.15)]
+
+
 def test_slice_is_cut_after_the_baseline(spark):
     frame = funnel(spark, [(d, "toys", 10, d) for d in range(1, 6)])
     got = anomaly.category_date_slice(frame, "toys", "2024-03-02", "2024-03-03").orderBy("date").collect()

@@ -61,3 +61,13 @@ def test_session_counts(spark, sf_dir):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+def test_building_a_query_runs_no_job(spark, sf_dir):
+    spark.sparkContext.setJobGroup("build only", "")
+    try:
+        for query in QUERIES.values():
+            query(spark, sf_dir)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build only")) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
