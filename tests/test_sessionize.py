@@ -158,6 +158,14 @@ def test_both_paths_agree_on_the_test_tables(spark):
     assert usual.exceptAll(mixed).count() == 0 and mixed.exceptAll(usual).count() == 0
 
 
+def test_busy_users_beyond_the_list_take_the_usual_path(spark, sf_dir, monkeypatch):
+    frame = testtables.events(spark, sf_dir)
+    expected = sessionize(frame)
+    monkeypatch.setattr(module, "_BUSY_USERS", 4)
+    got = sessionize(frame, busy_rows=0)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def test_session_window_agrees(spark, sf_dir):
     frame = testtables.events(spark, "/root/testdata/sf0.01")
     ours = (
