@@ -22,7 +22,9 @@ DEFAULT_GAP_SECONDS = 1800
 DEFAULT_BUSY_ROWS = 1_000_000
 
 _BUSY_USERS = 10_000
-# Layout of a busy user's events without a time: hash groups, and copies per work item.
+# Layout of a busy user's events without a time: hash groups (a power of two; masking the hash
+# cannot give null, so both uses of the grouped rows plan alike and share one shuffle), and
+# copies per work item.
 _SALTS = 1024
 _CHUNK = 16384
 
@@ -115,7 +117,7 @@ def _number_untimed(untimed: DataFrame, user: str) -> DataFrame:
     """
     columns = untimed.columns
     bags = untimed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn(
-        "_salt", F.pmod(F.xxhash64(*columns), F.lit(_SALTS))
+        "_salt", F.xxhash64(*columns).bitwiseAND(F.lit(_SALTS - 1))
     )
     groups = bags.groupBy(user, "_salt").agg(F.sum("_copies").alias("_size"))
     before = Window.partitionBy(user).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

@@ -76,7 +76,7 @@ def test_each_untimed_event_is_its_own_leading_session(spark, options):
 
 def test_many_untimed_copies_are_numbered_without_gaps(spark, monkeypatch):
     monkeypatch.setattr(module, "_CHUNK", 7)
-    monkeypatch.setattr(module, "_SALTS", 5)
+    monkeypatch.setattr(module, "_SALTS", 4)
     frame = events(spark, [("u", None, "view", p) for p in range(40)] + [("u", None)] * 50 + [("v", None)] * 3)
     got = sessionize(frame, **ALL_BUSY)
     assert sorted(int(r.session_id.split("_")[1]) for r in got.where("user_id = 'u'").collect()) == list(range(1, 91))
