@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickline.llm import chat, licenses, mixing, rules, urls
+from clickline.llm import bpe, chat, licenses, mixing, rules, token_files, urls
 
 URL_RULES = [
     ("org", "/", "allow"),
@@ -62,6 +62,25 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("page.page_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+def coded_digests(coded: DataFrame) -> DataFrame:
+    """doc_id, ids, decoded to the digests of the contract."""
+    written = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        _sha256(written).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_digests(bpe.encode_and_decode(table(spark, sf_dir, "documents")))
+
+
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.drop("spans")
@@ -72,6 +91,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_formatting": chat_formatting,
         "op2_source_mixing": source_mixing,
         "op4_quality_rules": quality_rules,
+        "op5_token_id_files": token_id_files,
         "op6_url_filters": url_filters,
+        "op8_byte_level_bpe": byte_level_bpe,
         "op10_license_scans": license_scans,
     }
