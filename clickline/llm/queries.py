@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickline.llm import bpe, chat, licenses, mixing, rules, token_files, urls
+from clickline.llm import bpe, chat, classifier, licenses, mixing, rules, token_files, urls
 
 URL_RULES = [
     ("org", "/", "allow"),
@@ -81,6 +81,11 @@ def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded_digests(bpe.encode_and_decode(table(spark, sf_dir, "documents")))
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("doc.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.drop("spans")
@@ -94,5 +99,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_id_files": token_id_files,
         "op6_url_filters": url_filters,
         "op8_byte_level_bpe": byte_level_bpe,
+        "op9_quality_classifier": quality_classifier,
         "op10_license_scans": license_scans,
     }
