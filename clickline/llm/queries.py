@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickline.llm import bpe, chat, classifier, licenses, mixing, rules, token_files, urls
+from clickline.llm import bpe, chat, classifier, jaccard, licenses, mixing, rules, token_files, urls, vectors
 
 URL_RULES = [
     ("org", "/", "allow"),
@@ -86,6 +86,14 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("doc.doc_id").alias("doc_id"), "held_out", "score", "predicted")
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.drop("spans")
@@ -95,9 +103,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": chat_formatting,
         "op2_source_mixing": source_mixing,
+        "op3_embedding_near_dedup": embedding_near_dedup,
         "op4_quality_rules": quality_rules,
         "op5_token_id_files": token_id_files,
         "op6_url_filters": url_filters,
+        "op7_ngram_jaccard_join": ngram_jaccard_join,
         "op8_byte_level_bpe": byte_level_bpe,
         "op9_quality_classifier": quality_classifier,
         "op10_license_scans": license_scans,
