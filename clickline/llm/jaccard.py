@@ -14,10 +14,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickline.llm.shared import components, stored
+from clickline.llm.shared import components, stored, text_key
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -288,3 +288,16 @@ def jaccard_join(
         class_id.alias("class_id"),
         F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``jaccard_join`` keeps: one of each class, that with the smallest doc_id.
+
+    Of rows that repeat this id the one with the smallest text hash stays. Rows without doc_id stay.
+    """
+    kept = jaccard_join(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
+    packed = docs.select(F.struct("*").alias("doc"))
+    named = packed.where("doc.doc_id is not null").join(kept, F.col("doc.doc_id") == F.col("_id"), "left_semi")
+    order = Window.partitionBy("doc.doc_id").orderBy(text_key(F.col("doc.text")))
+    first = named.withColumn("_number", F.row_number().over(order)).where("_number = 1").drop("_number")
+    return first.unionByName(packed.where("doc.doc_id is null")).select("doc.*")

@@ -66,14 +66,15 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
-def coded_digests(coded: DataFrame) -> DataFrame:
-    """doc_id, ids, decoded to the digests of the contract."""
+def coded_digests(coded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, ids, decoded to the digests of the contract, and columns of ``coded`` by name."""
     written = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         _sha256(written).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
 
 

@@ -27,7 +27,7 @@ MAX_LISTS = 4_096
 SUBSPACES, CODES, ROUNDS, SEED = 8, 256, 8, 11
 #: A list is probed if a vector within this share of the link distance could lie in it. 1 finds every link, whatever its
 #: direction; a neighbour's step towards one given centre is seldom more than a few tenths of its length.
-REACH = 0.6
+REACH = 0.35
 MEMBERS_PER_BLOCK, PROBES_PER_BLOCK = 512, 2_048
 
 
