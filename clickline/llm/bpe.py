@@ -22,29 +22,38 @@ from clickline.llm.pieces import Remembered, pattern
 #: Rows that one recursive query may hold; it stops after the steps that fit and goes on in another.
 MAX_STATE_ROWS = 4_000_000
 #: Characters of the words that are merged together.
-BLOCK_TOKENS = 50_000
+BLOCK_CHARS = 200_000
 
 #: Words with more bytes than this merge at all places of a pair in one step.
 LONG_WORD = 256
 
-# One step contracts the leftmost pair of lowest rank of each word; what stands right of it moves up by one.
+# A row holds a token, the one after it, and the rank at which the two merge. One step contracts the leftmost pair of
+# lowest rank of each word; what stands right of it moves up by one, and only the two pairs that the new token is in meet the
+# merge table again.
 _LEFTMOST = """
-WITH RECURSIVE state(w, p, t, live) AS (
-    SELECT w, p, t, true FROM tokens
+WITH RECURSIVE state(w, p, t, u, k, live) AS (
+    SELECT w, p, n.t, u, m.t, true
+    FROM (SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS u FROM tokens) n
+    LEFT JOIN merges m ON m.l = n.t AND m.r = n.u
     UNION ALL (
-        WITH pairs AS (
-            SELECT a.w, m.t, a.p
-            FROM state a JOIN state b ON a.w = b.w AND b.p = a.p + 1 JOIN merges m ON m.l = a.t AND m.r = b.t
-            WHERE a.live AND b.live
-        ), lowest AS (
-            SELECT w, min(t * 4294967296 + p) AS k FROM pairs GROUP BY w
+        WITH lowest AS (
+            SELECT w, min(k * 4294967296 + p) AS k FROM state WHERE live GROUP BY w
+        ), places AS (
+            SELECT l.w, l.k >> 32 AS t, l.k & 4294967295 AS p, s.u
+            FROM lowest l JOIN state s ON s.w = l.w AND s.p = (l.k & 4294967295) + 1 WHERE s.live
+        ), moved AS (
+            SELECT s.w,
+                CASE WHEN s.p > c.p THEN s.p - 1 ELSE s.p END AS p,
+                CASE WHEN s.p = c.p THEN c.t ELSE s.t END AS t,
+                CASE WHEN s.p = c.p THEN c.u WHEN s.p = c.p - 1 THEN c.t ELSE s.u END AS u,
+                s.k, c.w IS NOT NULL AS live, coalesce(s.p BETWEEN c.p - 1 AND c.p, false) AS changed
+            FROM state s LEFT JOIN places c ON s.w = c.w
+            WHERE s.live AND (c.w IS NULL OR s.p <> c.p + 1)
         )
-        SELECT s.w,
-            CASE WHEN s.p > (k & 4294967295) THEN s.p - 1 ELSE s.p END,
-            CASE WHEN s.p = (k & 4294967295) THEN k >> 32 ELSE s.t END,
-            k IS NOT NULL
-        FROM state s LEFT JOIN lowest l ON s.w = l.w
-        WHERE s.live AND (k IS NULL OR s.p <> (k & 4294967295) + 1)
+        SELECT w, p, t, u, k, live FROM moved WHERE NOT changed
+        UNION ALL
+        SELECT n.w, n.p, n.t, n.u, m.t, n.live
+        FROM (SELECT * FROM moved WHERE changed) n LEFT JOIN merges m ON m.l = n.t AND m.r = n.u
     )
 )
 SELECT w, t FROM state WHERE NOT live ORDER BY w, p
@@ -123,17 +132,21 @@ class Merger:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The token ids of each word."""
-        ids: list[np.ndarray] = [None] * len(words)
-        long = [i for i, w in enumerate(words) if len(w) > LONG_WORD]
-        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The token ids of each word, as little-endian 32-bit integers."""
+        # A word that is a token stays whole, even where no order of merges leads to it.
+        ids = [self.ranks[w].to_bytes(4, "little") if w in self.ranks else None for w in words]
+        long = [i for i, w in enumerate(words) if ids[i] is None and len(w) > LONG_WORD]
+        short = [i for i, w in enumerate(words) if ids[i] is None and len(w) <= LONG_WORD]
         for places, query in ((short, self._leftmost), (long, self._all_places)):
             if places:
                 w, t = query([words[i] for i in places])
-                ends = np.cumsum(np.bincount(w, minlength=len(places)))[:-1]
-                for i, x in zip(places, np.split(t.astype("<i4"), ends), strict=True):
-                    ids[i] = x
+                coded = t.astype("<i4").tobytes()
+                ends = (4 * np.cumsum(np.bincount(w, minlength=len(places)))).tolist()
+                low = 0
+                for i, high in zip(places, ends, strict=True):
+                    ids[i] = coded[low:high]
+                    low = high
         return ids
 
     def _tokens(self, w: np.ndarray, p: np.ndarray, t: np.ndarray) -> None:
@@ -163,17 +176,16 @@ class Merger:
         order = np.argsort(w, kind="stable")
         return w[order], t[order]
 
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+    def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids."""
-        lengths = np.array([len(x) for x in ids], "i8")
-        row = np.repeat(np.arange(len(ids)), lengths)
-        flat = np.concatenate(ids) if ids else np.array([], "i4")
+        row = np.repeat(np.arange(len(ids)), [len(x) // 4 for x in ids])
+        flat = np.frombuffer(b"".join(ids), "<i4")
         self._table("coded", row=pa.array(row, pa.int64()), p=pa.array(np.arange(len(row))), t=pa.array(flat, pa.int64()))
         found = self.db.execute(
             "SELECT row, string_agg(hex, '' ORDER BY p) AS hex FROM coded JOIN vocabulary USING (t) GROUP BY row"
-        ).fetchall()
+        ).fetchnumpy()
         texts = [b""] * len(ids)
-        for i, text in found:
+        for i, text in zip(found["row"].tolist(), found["hex"], strict=True):
             texts[i] = bytes.fromhex(text)
         return texts
 
@@ -183,28 +195,34 @@ class Coder:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.merger, self.words = Merger(ranks), pattern()
-        self.remembered = Remembered(self._encode_new)
+        self.remembered = Remembered(self._encode_new, 2)
 
     def _encode_new(self, stretches: list[str]) -> list[tuple[bytes, bytes]]:
         cut = [self.words.findall(s) for s in stretches]
-        distinct = list(set().union(*cut)) if cut else []
+        # Words of similar length take similarly many steps.
+        distinct = sorted(set().union(*cut), key=len)
         coded: dict[str, tuple[bytes, bytes]] = {}
         block: list[str] = []
         size = 0
         for i, word in enumerate(distinct):
             block.append(word)
             size += len(word)
-            if size >= BLOCK_TOKENS or i + 1 == len(distinct):
+            if size >= BLOCK_CHARS or i + 1 == len(distinct):
                 ids = self.merger.merge([x.encode() for x in block])
                 texts = self.merger.decode(ids)
-                coded.update((x, (y.tobytes(), z)) for x, y, z in zip(block, ids, texts, strict=True))
+                coded.update(zip(block, zip(ids, texts, strict=True), strict=True))
                 block, size = [], 0
         return [
-            (b"".join([coded[x][0] for x in parts]), b"".join([coded[x][1] for x in parts])) for parts in cut
+            coded[parts[0]]
+            if len(parts) == 1
+            else (b"".join([coded[x][0] for x in parts]), b"".join([coded[x][1] for x in parts]))
+            for parts in cut
         ]
 
-    def code(self, texts: list[str | None]) -> list[list[bytes]]:
-        return self.remembered.encode([t or "" for t in texts], 2)
+    def code(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Little-endian 32-bit ids and decoded bytes of each text."""
+        ids, decoded = self.remembered.encode([t or "" for t in texts])
+        return ids, decoded
 
 
 def id_lists(coded: list[bytes]) -> pa.ListArray:
@@ -227,9 +245,11 @@ def encode_and_decode(docs: DataFrame, ranks_path: str | None = None) -> DataFra
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(read_ranks(path))
         for batch in batches:
-            coded = coder.code(batch.column(1).to_pylist())
-            ids, texts = id_lists([x[0] for x in coded]), pa.array([x[1] for x in coded], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, texts], names=["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                ids, decoded = coder.code(part.column(1).to_pylist())
+                columns = [part.column(0), id_lists(ids), pa.array(decoded, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     schema = T.StructType(
         [

@@ -11,7 +11,9 @@ import regex
 _UNEVEN = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Stretches a task remembers at most; then it starts afresh.
-MAX_REMEMBERED = 1_000_000
+MAX_REMEMBERED = 500_000
+#: Characters of text that are worked on at once.
+BLOCK_CHARS = 2 * 2**20
 
 
 def stretches(text: str) -> list[str]:
@@ -27,29 +29,41 @@ def stretches(text: str) -> list[str]:
 
 
 class Remembered:
-    """Encodes texts by stretches; ``encode_new`` gets stretches not met before and returns one value for each."""
+    """Encodes texts by stretches; ``encode_new`` gets stretches not met before and returns one tuple of ``width``
+    byte strings for each."""
 
-    def __init__(self, encode_new: Callable[[list[str]], list[tuple[bytes, ...]]]) -> None:
-        self.encode_new = encode_new
-        self.first: dict[str, tuple[bytes, ...]] = {}
-        self.rest: dict[str, tuple[bytes, ...]] = {}  # by the stretch without the space before it
+    def __init__(self, encode_new: Callable[[list[str]], list[tuple[bytes, ...]]], width: int) -> None:
+        self.encode_new, self.width = encode_new, width
+        self.first: list[dict[str, bytes]] = [{} for _ in range(width)]
+        self.rest: list[dict[str, bytes]] = [{} for _ in range(width)]  # by the stretch without the space before it
 
-    def encode(self, texts: list[str], width: int) -> list[list[bytes]]:
-        """For each text, ``width`` byte strings: the joined values of its stretches."""
+    def encode(self, texts: list[str]) -> list[list[bytes]]:
+        """For each of the ``width`` values, the joined byte strings of each text."""
+        columns: list[list[bytes]] = [[] for _ in range(self.width)]
+        block, size = [], 0
+        for i, text in enumerate(texts):
+            block.append(text)
+            size += len(text)
+            if size >= BLOCK_CHARS or i + 1 == len(texts):
+                self._block(block, columns)
+                block, size = [], 0
+        return columns
+
+    def _block(self, texts: list[str], columns: list[list[bytes]]) -> None:
         cut = [stretches(text) for text in texts]
-        heads, tails = {parts[0] for parts in cut}, set().union(*(parts[1:] for parts in cut))
-        if len(self.first) + len(self.rest) + len(heads) + len(tails) > MAX_REMEMBERED:
-            self.first.clear()
-            self.rest.clear()
-        heads, tails = list(heads.difference(self.first)), list(tails.difference(self.rest))
+        heads = {parts[0] for parts in cut}
+        tails = set().union(*(parts[1:] for parts in cut))
+        if len(self.first[0]) + len(self.rest[0]) + len(heads) + len(tails) > MAX_REMEMBERED:
+            for known in self.first + self.rest:
+                known.clear()
+        heads, tails = list(heads.difference(self.first[0])), list(tails.difference(self.rest[0]))
         values = self.encode_new(heads + [" " + s for s in tails])
-        self.first.update(zip(heads, values, strict=False))
-        self.rest.update(zip(tails, values[len(heads) :], strict=True))
-        columns = []
-        for parts in cut:
-            found = [self.first[parts[0]], *map(self.rest.__getitem__, parts[1:])]
-            columns.append([b"".join([v[i] for v in found]) for i in range(width)])
-        return columns
+        for i, column in enumerate(columns):
+            first, rest = self.first[i], self.rest[i]
+            first.update(zip(heads, [v[i] for v in values[: len(heads)]], strict=True))
+            rest.update(zip(tails, [v[i] for v in values[len(heads) :]], strict=True))
+            for parts in cut:
+                column.append(first[parts[0]] + b"".join(map(rest.__getitem__, parts[1:])))
 
 
 def pattern() -> regex.Pattern:

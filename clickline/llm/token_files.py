@@ -68,7 +68,7 @@ class TextEncoder:
         )
         self.characters, self.words = _byte_characters(), pattern()
         self.word_ids: dict[str, bytes] = {}
-        self.remembered = Remembered(self._encode_new)
+        self.remembered = Remembered(self._encode_new, 1)
 
     def _word(self, word: str) -> bytes:
         known = self.word_ids.get(word)
@@ -86,7 +86,7 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if self.plain:
-            return [x[0] for x in self.remembered.encode(texts, 1)]
+            return self.remembered.encode(texts)[0]
         coded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, "<i4").tobytes() for x in coded]
 
