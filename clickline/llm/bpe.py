@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from clickline.llm.pieces import Remembered, pattern
+from clickline.llm.pieces import Remembered, for_worker, pattern
 
 #: Rows that one recursive query may hold; it stops after the steps that fit and goes on in another.
 MAX_STATE_ROWS = 4_000_000
@@ -243,7 +243,7 @@ def encode_and_decode(docs: DataFrame, ranks_path: str | None = None) -> DataFra
     path = ranks_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(read_ranks(path))
+        coder = for_worker(f"bpe {path}", lambda: Coder(read_ranks(path)))
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)

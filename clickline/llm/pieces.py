@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable
+from typing import Any
 
 import public_tokenizers
 import regex
 
 _UNEVEN = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Stretches a task remembers at most; then it starts afresh.
-MAX_REMEMBERED = 500_000
+#: Stretches a Python worker remembers at most; then it starts afresh.
+MAX_REMEMBERED = 900_000
 #: Characters of text that are worked on at once.
 BLOCK_CHARS = 2 * 2**20
 
@@ -66,5 +69,14 @@ class Remembered:
                 column.append(first[parts[0]] + b"".join(map(rest.__getitem__, parts[1:])))
 
 
+def for_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in the life of a Python worker: Spark reuses workers for many tasks, and what
+    one task has encoded the next need not encode again."""
+    kept = sys.modules.setdefault("clickline_worker", types.ModuleType("clickline_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def pattern() -> regex.Pattern:
     return regex.compile(public_tokenizers.PATTERN)

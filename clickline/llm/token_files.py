@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickline.llm.bpe import id_lists
-from clickline.llm.pieces import Remembered, pattern
+from clickline.llm.pieces import Remembered, for_worker, pattern
 from clickline.llm.shared import running_total, scratch_path, text_key
 
 #: Appended to each document.
@@ -112,7 +112,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row, end = TextEncoder(tokenizer), 0, np.array([END_ID], "<i4").tobytes()
+        encoder = for_worker(f"tokenizer {tokenizer}", lambda: TextEncoder(tokenizer))
+        row, end = 0, np.array([END_ID], "<i4").tobytes()
         for batch in batches:
             ids = id_lists([x + end for x in encoder.encode(batch.column(1).to_pylist())])
             rows = pa.array(np.arange(row, row + len(ids)))
