@@ -161,3 +161,12 @@ def base_measures(text: Column) -> dict[str, Column]:
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
     }
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with their own columns."""
+    judged = quality_rules(docs, labels, threshold)
+    # A row number keeps the optimizer from moving the filter below the measures, which would write each measure out
+    # in full wherever the filter refers to it.
+    once = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    return judged.withColumn("_kept", once).where("_kept").select("doc.*")

@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return rules.quality_rules(docs, table(spark, sf_dir, "labels")).where("kept").select("doc.*")
+    return rules.kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
