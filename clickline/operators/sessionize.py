@@ -62,8 +62,11 @@ def _opens(first: Column, previous: Column, gap_seconds: int) -> Column:
 
 def _number_by_user(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
     """Running session number over each user's events."""
-    # Untimed events all tie; ordering them by content keeps their numbers the same on a retry.
-    content = F.when(F.col(time).isNull(), F.xxhash64(*events.columns))
+    # Untimed events all tie. They are ordered as _number_untimed orders them, by hash group and then by content, so
+    # their numbers do not depend on the path their user takes.
+    untimed = F.col(time).isNull()
+    salt = F.xxhash64(*events.columns).bitwiseAND(F.lit(_SALTS - 1)).alias("_salt")
+    content = F.when(untimed, F.struct(salt, *(c for c in events.columns if c not in (user, time))))
     in_order = Window.partitionBy(user).orderBy(F.col(time).asc_nulls_first(), "_content")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     previous = F.unix_seconds(F.lag(time).over(in_order))

@@ -158,6 +158,15 @@ def test_both_paths_agree_on_the_test_tables(spark):
     assert usual.exceptAll(mixed).count() == 0 and mixed.exceptAll(usual).count() == 0
 
 
+def test_untimed_numbers_do_not_depend_on_the_path(spark):
+    frame = spark.range(40).select(
+        F.lit("u").alias("user_id"), F.lit(None).cast("timestamp").alias("timestamp"), (F.col("id") % 13).alias("product_id")
+    )
+    usual, busy = sessionize(frame), sessionize(frame, busy_rows=1)
+    assert usual.exceptAll(busy).count() == 0 and busy.exceptAll(usual).count() == 0
+    assert usual.select("session_id").distinct().count() == 40
+
+
 def test_busy_users_beyond_the_list_take_the_usual_path(spark, sf_dir, monkeypatch):
     frame = testtables.events(spark, sf_dir)
     expected = sessionize(frame)
