@@ -97,7 +97,7 @@ def _block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     count = np.bincount(passage, minlength=len(out))
     at_least = np.maximum(count, 1)
     hashed = np.bincount(passage * HASHED + (hashes >> np.uint64(40)).astype("i8") % HASHED, minlength=len(out) * HASHED)
-    lines = np.concatenate([np.cumsum(data == 10)[begins], [0]])
+    lines = np.concatenate([np.cumsum(data == 10)[begins], [(data == 10).sum()]])
     breaks = np.bincount(passage, weights=np.diff(lines) > 0, minlength=len(out))
 
     share = kinds / total[:, None]
@@ -146,10 +146,10 @@ class Model:
         return {"starts": starts, "bag": bag, "h": h, "t": t, "g": g, "a": a, "z": z, "logit": logit}
 
     def predict(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Scores from 0 to 1."""
+        """Scores from 0 to 1, in double precision: what else is in a batch changes none beyond rounding errors."""
         if not len(counts):
             return np.zeros(0)
-        return 1 / (1 + np.exp(-np.clip(self.forward(x, counts)["logit"].astype("f8"), -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(self.forward(x.astype("f8"), counts)["logit"], -50, 50)))
 
 
 def fit(x: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> Model:
