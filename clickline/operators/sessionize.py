@@ -2,13 +2,14 @@
 
 A new session opens for a user's first event and after every gap of more than
 ``gap_seconds`` whole seconds. Session ids are ``<user>_<running number>``. An event without
-a time is a session of its own; those come first.
-
-Most users go through one shuffle and one sort: a running window per user. A user with very
-many events would put all of them into one task there, so the busiest users are found by a
-count first (at most ``_BUSY_USERS`` of them, which also bounds every other user's share of
-the rows to ``1 / _BUSY_USERS``) and take a path whose window groups do not grow with their
-events. Where nobody is that busy, adaptive execution drops this path.
+a time is a session of its own; those come first, ordered by their columns, nulls first.
+
+All users take one path, and no step brings a user's events together. All events of a user
+inside one slot of ``gap_seconds + 1`` seconds lie at most ``gap_seconds`` apart and share a
+session. So events are reduced, map-side, to one row per (user, slot); sessions are counted
+over slots inside blocks of ``_SLOTS_PER_BLOCK``, then over blocks; and the number goes back
+to the events by an equi-join on (user, slot), in which adaptive execution can split a busy
+slot.
 """
 
 from __future__ import annotations
@@ -19,13 +20,10 @@ from pyspark.sql import functions as F
 from clickline.functions.columns import slot_start, whole_seconds
 
 DEFAULT_GAP_SECONDS = 1800
-DEFAULT_BUSY_ROWS = 1_000_000
 
-_BUSY_USERS = 10_000
-# Layout of a busy user's events without a time: hash groups (a power of two; masking the hash
-# cannot give null, so both uses of the grouped rows plan alike and share one shuffle), and
-# copies per work item.
-_SALTS = 1024
+#: Bounds a window's rows by the calendar at any gap: 4096 slots in a block, and at a gap of 0 some 7,700 blocks a year.
+_SLOTS_PER_BLOCK = 4096
+#: Copies of equal untimed rows per work item.
 _CHUNK = 16384
 
 
@@ -34,113 +32,87 @@ def sessionize(
     gap_seconds: int = DEFAULT_GAP_SECONDS,
     user: str = "user_id",
     time: str = "timestamp",
-    busy_rows: int = DEFAULT_BUSY_ROWS,
 ) -> DataFrame:
-    """``events`` plus ``session_id``. Users with more than ``busy_rows`` events are split over tasks."""
-    busy = (
-        events.groupBy(F.col(user).alias("_busy_user"))
-        .agg(F.count(F.lit(1)).alias("_events"))
-        .where(F.col("_events") > busy_rows)
-        .orderBy(F.col("_events").desc(), "_busy_user")
-        .limit(_BUSY_USERS)
-        .select("_busy_user")
-    )
-    is_busy = F.col(user).eqNullSafe(F.col("_busy_user"))
-    usual = events.join(F.broadcast(busy), is_busy, "left_anti")
-    heavy = events.join(F.broadcast(busy), is_busy, "left_semi")
-    numbered = _number_by_user(usual, gap_seconds, user, time).unionByName(
-        _number_by_slot(heavy, gap_seconds, user, time)
-    )
+    """``events`` plus ``session_id``."""
+    timed = _number_timed(events, gap_seconds, user, time)
+    untimed = _number_untimed(events.where(F.col(time).isNull()), user)
     session_id = F.concat_ws("_", F.col(user), F.col("_number"))
-    return numbered.select(*events.columns, session_id.alias("session_id"))
-
-
-def _opens(first: Column, previous: Column, gap_seconds: int) -> Column:
-    """True after a long gap, and where there is nothing to measure a gap from."""
-    return F.coalesce(first - previous > gap_seconds, F.lit(True))
-
-
-def _number_by_user(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
-    """Running session number over each user's events."""
-    # Untimed events all tie. They are ordered as _number_untimed orders them, by hash group and then by content, so
-    # their numbers do not depend on the path their user takes.
-    untimed = F.col(time).isNull()
-    salt = F.xxhash64(*events.columns).bitwiseAND(F.lit(_SALTS - 1)).alias("_salt")
-    content = F.when(untimed, F.struct(salt, *(c for c in events.columns if c not in (user, time))))
-    in_order = Window.partitionBy(user).orderBy(F.col(time).asc_nulls_first(), "_content")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    previous = F.unix_seconds(F.lag(time).over(in_order))
-    opened = F.when(_opens(whole_seconds(time), previous, gap_seconds), 1).otherwise(0)
-    return events.withColumn("_content", content).withColumn("_opened", opened).select(
-        *events.columns, F.sum("_opened").over(so_far).alias("_number")
-    )
+    return timed.unionByName(untimed).select(*events.columns, session_id.alias("session_id"))
 
 
-def _number_by_slot(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
-    """The same numbers without bringing a user's events together.
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe, so that both sides of a join plan alike and share their shuffle."""
+    first, second = (left[key].eqNullSafe(right[f"_of{key}"]) for key in keys)
+    return first & second
 
-    All events of a user inside one slot of ``gap_seconds + 1`` seconds lie at most
-    ``gap_seconds`` apart and share a session. So events are reduced, map-side, to one row per
-    (user, slot); the running window sees only those rows, whose number per user is bounded by
-    the calendar; and the number goes back to the events by an equi-join on (user, slot), in
-    which adaptive execution can split a busy slot.
-    """
-    seconds = whole_seconds(time)
-    placed = events.withColumn("_slot", slot_start(seconds, gap_seconds + 1))
-    slots = placed.groupBy(user, "_slot").agg(
-        F.min(seconds).alias("_first"),
-        F.max(seconds).alias("_last"),
-        F.count(F.lit(1)).alias("_events"),
+
+def _number_timed(events: DataFrame, gap_seconds: int, user: str, time: str) -> DataFrame:
+    """Session numbers of the timed events; untimed ones only shift them."""
+    seconds, width = whole_seconds(time), gap_seconds + 1
+    placed = events.withColumn("_slot", slot_start(seconds, width))
+    slots = (
+        placed.groupBy(user, "_slot")
+        .agg(F.min(seconds).alias("_first"), F.max(seconds).alias("_last"), F.count(F.lit(1)).alias("_events"))
+        .withColumn("_block", slot_start(F.col("_slot"), width * _SLOTS_PER_BLOCK))
     )
-    in_order = Window.partitionBy(user).orderBy(F.col("_slot").asc_nulls_first())
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opened = (
-        F.when(F.col("_slot").isNull(), F.col("_events"))
-        .when(_opens(F.col("_first"), F.lag("_last").over(in_order), gap_seconds), 1)
-        .otherwise(0)
+    # Sessions that open inside a block, after its first slot. All untimed events are one slot, in a block of their own.
+    in_block = Window.partitionBy(user, "_block").orderBy("_slot")
+    previous = F.lag("_last").over(in_block)
+    opened = F.when(F.col("_slot").isNull(), F.col("_events")).when(F.col("_first") - previous > gap_seconds, 1).otherwise(0)
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slots = slots.withColumn("_opened", opened).withColumn("_inside", F.sum("_opened").over(so_far))
+
+    blocks = slots.groupBy(user, "_block").agg(
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        F.sum("_opened").alias("_inside"),
     )
-    numbered = slots.withColumn("_opened", opened).select(
-        F.col(user).alias("_slot_user"),
-        F.col("_slot").alias("_slot_key"),
-        F.sum("_opened").over(so_far).alias("_number"),
+    by_block = Window.partitionBy(user).orderBy(F.col("_block").asc_nulls_first())
+    # A block's first slot opens a session after a long gap, and where there is nothing to measure a gap from.
+    opens = F.coalesce(F.col("_first") - F.lag("_last").over(by_block) > gap_seconds, F.lit(True))
+    blocks = blocks.withColumn("_opening", F.when(F.col("_block").isNotNull() & opens, 1).otherwise(0))
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_ended", F.col("_opening") + F.col("_inside")).select(
+        F.col(user).alias(f"_of{user}"),
+        F.col("_block").alias("_of_block"),
+        (F.coalesce(F.sum("_ended").over(earlier), F.lit(0)) + F.col("_opening")).alias("_before"),
     )
-    timed = placed.where(F.col(time).isNotNull()).join(
-        numbered.where(F.col("_slot_key").isNotNull()),
-        F.col(user).eqNullSafe(F.col("_slot_user")) & (F.col("_slot") == F.col("_slot_key")),
+    numbered = slots.join(blocks, _same(slots, blocks, [user, "_block"])).select(
+        F.col(user).alias(f"_of{user}"),
+        F.col("_slot").alias("_of_slot"),
+        (F.col("_before") + F.col("_inside")).alias("_number"),
     )
-    untimed = _number_untimed(events.where(F.col(time).isNull()), user)
-    return timed.select(*events.columns, "_number").unionByName(untimed)
+    timed = placed.where(F.col(time).isNotNull())
+    slotted = numbered.where(F.col("_of_slot").isNotNull())
+    return timed.join(slotted, _same(timed, slotted, [user, "_slot"])).select(*events.columns, "_number")
 
 
 def _number_untimed(untimed: DataFrame, user: str) -> DataFrame:
-    """Number each user's rows 1, 2, ... without bringing a user's rows together.
+    """Number each user's rows 1, 2, ... in the order of their columns, nulls first, without bringing them together.
 
-    Equal rows collapse to a count, distinct rows are spread over hash groups, every group
-    learns how many rows precede it, and the counts are unfolded again in bounded chunks.
+    Equal rows collapse to a count, distinct rows are spread over ranges of their order, every range learns how many
+    rows of its user precede it, and the counts are unfolded again in bounded chunks.
     """
     columns = untimed.columns
-    bags = untimed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn(
-        "_salt", F.xxhash64(*columns).bitwiseAND(F.lit(_SALTS - 1))
-    )
-    groups = bags.groupBy(user, "_salt").agg(F.sum("_copies").alias("_size"))
-    before = Window.partitionBy(user).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(
-        F.col(user).alias("_group_user"),
-        F.col("_salt").alias("_group_salt"),
+    order = [F.col(c).asc_nulls_first() for c in (user, *(c for c in columns if c != user))]
+    # A fixed partition count: adaptive execution would size partitions by the still folded rows, and the number
+    # of a partition must mean one range. Both uses of the ranges share one shuffle.
+    partitions = int(untimed.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    bags = untimed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    ranges = bags.repartitionByRange(partitions, *order).withColumn("_range", F.spark_partition_id())
+    sizes = ranges.groupBy(user, "_range").agg(F.sum("_copies").alias("_size"))
+    before = Window.partitionBy(user).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        F.col(user).alias(f"_of{user}"),
+        F.col("_range").alias("_of_range"),
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
     )
-    earlier = (
-        Window.partitionBy(user, "_salt").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = bags.withColumn("_earlier", F.coalesce(F.sum("_copies").over(earlier), F.lit(0))).join(
-        groups,
-        F.col(user).eqNullSafe(F.col("_group_user")) & (F.col("_salt") == F.col("_group_salt")),
-    )
+    earlier = Window.partitionBy(user, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumn("_earlier", F.coalesce(F.sum("_copies").over(earlier), F.lit(0)))
+    placed = placed.join(sizes, _same(placed, sizes, [user, "_range"]))
     chunks = placed.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {_CHUNK}")))
     )
-    # A fixed partition count: adaptive execution would size partitions by the still folded rows.
-    partitions = int(untimed.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     chunks = chunks.repartition(partitions, *columns, "_chunk")
     first = F.col("_chunk") * _CHUNK + 1
     last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * _CHUNK)

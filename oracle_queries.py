@@ -100,7 +100,8 @@ cat AS (
 def sessions(gap: int) -> str:
     return f"""
 lagged AS (
-  SELECT *, lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS FIRST) AS prev
+  SELECT *, lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS FIRST,
+             event_type NULLS FIRST, product_id NULLS FIRST, device NULLS FIRST, referrer NULLS FIRST) AS prev
   FROM ev
 ),
 flagged AS (
@@ -111,7 +112,8 @@ flagged AS (
 ),
 ses AS (
   SELECT user_id, "timestamp", event_type, product_id, device, referrer,
-         user_id || '_' || CAST(CAST(sum(is_new) OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS FIRST
+         user_id || '_' || CAST(CAST(sum(is_new) OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS FIRST,
+             event_type NULLS FIRST, product_id NULLS FIRST, device NULLS FIRST, referrer NULLS FIRST
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS VARCHAR) AS session_id
   FROM flagged
 )"""
@@ -298,12 +300,13 @@ def build(category: str, user_id: str, start: str, end: str, copies: int, top: i
         "q_clean_catalog": f"WITH {CLEAN_CATALOG} SELECT * FROM cat",
         "q_user_timeline": f"WITH {EVENTS} SELECT * FROM ev WHERE user_id = '{user_id}' ORDER BY \"timestamp\"",
         "q_sessionize": f"WITH {EVENTS}, {SESSIONS} SELECT * FROM ses",
+        "q_sessionize_smallgap": f"WITH {EVENTS}, {sessions(59)} SELECT * FROM ses",
+        "q_sessionize_raw": f"WITH {CLEAN_EVENTS}, {SESSIONS} SELECT * FROM ses",
         "q_sessionize_daygap": f"WITH {EVENTS}, {sessions(86400)} SELECT * FROM ses",
         "q_enrich_events": f"""WITH {EVENTS}, {CATALOG}
             SELECT ev.*, category, brand, price FROM ev LEFT JOIN cat USING (product_id)""",
         "q_missing_category": f"""WITH {CLEAN_EVENTS}, {CLEAN_CATALOG}, {SESSIONS}
-            SELECT user_id, CASE WHEN "timestamp" IS NULL THEN NULL ELSE session_id END AS session_id,
-                   event_type, product_id, category
+            SELECT user_id, session_id, event_type, product_id, category
             FROM ses LEFT JOIN cat USING (product_id) WHERE category IS NULL OR category = 'none'""",
         "q_session_flags": f"WITH {EVENTS}, {CATALOG}, {SESSIONS}, {FLAGS} SELECT * FROM flags",
         "q_funnel_counts": f"WITH {EVENTS}, {CATALOG}, {SESSIONS}, {COUNTS} SELECT * FROM counts",

@@ -13,22 +13,13 @@ from clickline.streaming.sessions import session_rollup
 from helpers import events, executed_plan, rows
 
 
-ALL_BUSY = {"busy_rows": 0}
-
-
-@pytest.fixture(params=[{}, ALL_BUSY], ids=["usual", "busy"])
-def options(request):
-    """Both paths of the operator must give the same answers."""
-    return request.param
-
-
-def numbers(df, **options):
+def numbers(df):
     """Session numbers in time order."""
-    got = sessionize(df, **options).orderBy("user_id", "timestamp").collect()
+    got = sessionize(df).orderBy("user_id", "timestamp").collect()
     return [r.session_id for r in got]
 
 
-def test_gap_is_inclusive(spark, options):
+def test_gap_is_inclusive(spark):
     frame = events(
         spark,
         [
@@ -38,10 +29,10 @@ def test_gap_is_inclusive(spark, options):
             ("u", "2024-01-01 01:30:00"),
         ],
     )
-    assert numbers(frame, **options) == ["u_1", "u_1", "u_1", "u_2"]
+    assert numbers(frame) == ["u_1", "u_1", "u_1", "u_2"]
 
 
-def test_gap_counts_whole_seconds(spark, options):
+def test_gap_counts_whole_seconds(spark):
     frame = events(
         spark,
         [
@@ -51,10 +42,10 @@ def test_gap_counts_whole_seconds(spark, options):
             ("b", "2024-01-01 10:30:00.9"),
         ],
     )
-    assert numbers(frame, **options) == ["a_1", "a_2", "b_1", "b_1"]
+    assert numbers(frame) == ["a_1", "a_2", "b_1", "b_1"]
 
 
-def test_ties_share_a_session_whatever_the_input_order(spark, options):
+def test_ties_share_a_session_whatever_the_input_order(spark):
     data = [
         ("u", "2024-01-01 10:00:00", "view", 1),
         ("u", "2024-01-01 11:00:00", "view", 2),
@@ -62,13 +53,13 @@ def test_ties_share_a_session_whatever_the_input_order(spark, options):
         ("u", "2024-01-01 11:00:00", "add_to_cart", 4),
     ]
     for order in (data, data[::-1]):
-        got = rows(sessionize(events(spark, order), **options), "product_id", "session_id")
+        got = rows(sessionize(events(spark, order)), "product_id", "session_id")
         assert got == [(1, "u_1"), (2, "u_2"), (3, "u_2"), (4, "u_2")]
 
 
-def test_each_untimed_event_is_its_own_leading_session(spark, options):
+def test_each_untimed_event_is_its_own_leading_session(spark):
     frame = events(spark, [("u", None), ("u", "2024-01-01 10:00:00"), ("u", None, "purchase"), ("u", None, "purchase")])
-    got = sessionize(frame, **options)
+    got = sessionize(frame)
     untimed = rows(got.where("timestamp is null"), "session_id")
     assert untimed == [("u_1",), ("u_2",), ("u_3",)]
     assert rows(got.where("timestamp is not null"), "session_id") == [("u_4",)]
@@ -76,24 +67,23 @@ def test_each_untimed_event_is_its_own_leading_session(spark, options):
 
 def test_many_untimed_copies_are_numbered_without_gaps(spark, monkeypatch):
     monkeypatch.setattr(module, "_CHUNK", 7)
-    monkeypatch.setattr(module, "_SALTS", 4)
     frame = events(spark, [("u", None, "view", p) for p in range(40)] + [("u", None)] * 50 + [("v", None)] * 3)
-    got = sessionize(frame, **ALL_BUSY)
+    got = sessionize(frame)
     assert sorted(int(r.session_id.split("_")[1]) for r in got.where("user_id = 'u'").collect()) == list(range(1, 91))
     assert sorted(r.session_id for r in got.where("user_id = 'v'").collect()) == ["v_1", "v_2", "v_3"]
 
 
-def test_null_user_and_times_before_1970(spark, options):
+def test_null_user_and_times_before_1970(spark):
     frame = events(
         spark,
         [(None, "1969-12-31 23:45:00"), (None, "1970-01-01 00:10:00"), (None, "1970-01-01 00:40:01")],
     )
-    got = sessionize(frame, **options).orderBy("timestamp").collect()
+    got = sessionize(frame).orderBy("timestamp").collect()
     assert [r.session_id for r in got] == ["1", "1", "2"]
 
 
 @pytest.mark.parametrize("gap", [0, 1, 59, 1800, 86400])
-def test_equals_a_row_by_row_walk(spark, gap, options):
+def test_equals_a_row_by_row_walk(spark, gap):
     draw = random.Random(gap)
     start = dt.datetime(2024, 1, 1)
     data = []
@@ -110,27 +100,31 @@ def test_equals_a_row_by_row_walk(spark, gap, options):
         last[user] = at
         expected.append((user, at, f"{user}_{number[user]}"))
     draw.shuffle(data)
-    got = rows(sessionize(events(spark, data), gap_seconds=gap, **options), "user_id", "timestamp", "session_id")
+    got = rows(sessionize(events(spark, data), gap_seconds=gap), "user_id", "timestamp", "session_id")
     assert got == sorted(expected, key=lambda t: tuple((True, str(v)) for v in t))
 
 
-def test_usual_path_is_one_shuffle_and_one_sort(spark, sf_dir):
-    numbered = module._number_by_user(testtables.events(spark, sf_dir), 1800, "user_id", "timestamp")
-    plan = executed_plan(numbered)
-    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
-
-
-def test_busy_path_reduces_events_before_the_window(spark, sf_dir):
-    frame = testtables.events(spark, sf_dir).dropna(subset=["timestamp"])
-    plan = executed_plan(module._number_by_slot(frame, 1800, "user_id", "timestamp"))
+def test_events_are_read_once_for_slots_and_once_for_rows(spark, sf_dir):
+    got = module._number_timed(testtables.events(spark, sf_dir), 1800, "user_id", "timestamp")
+    got.collect()
+    plan = executed_plan(got).split("Initial Plan")[0]
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 1
+    # Windows stand above the aggregate over slots or above what reuses it.
     at = plan.find("Window [")
-    assert at >= 0
     while at >= 0:
-        assert "HashAggregate" in plan[at : plan.index("FileScan", at)]
+        assert "HashAggregate" in plan[at:] or "ReusedExchange" in plan[at:]
         at = plan.find("Window [", at + 1)
 
 
+def test_blocks_do_not_change_the_numbers(spark, monkeypatch):
+    frame = testtables.events(spark, "/root/testdata/sf0.01")
+    expected = sessionize(frame, gap_seconds=59)
+    monkeypatch.setattr(module, "_SLOTS_PER_BLOCK", 3)
+    got = sessionize(frame, gap_seconds=59)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def test_one_user_with_most_rows(spark):
     """A dominant user in a dominant half hour comes out whole, next to usual users."""
     busy = spark.range(20000).select(
@@ -144,35 +138,34 @@ def test_one_user_with_most_rows(spark):
     second = busy.where("user_id = 'hot' and product_id < 10").withColumn(
         "timestamp", F.timestamp_seconds(F.lit(1704067200 + 7200))
     )
-    got = sessionize(busy.unionByName(second), busy_rows=1000)
+    got = sessionize(busy.unionByName(second))
     counted = got.groupBy("user_id", "session_id").count()
     assert rows(counted.where("user_id = 'hot'"), "session_id", "count") == [("hot_1", 15000), ("hot_2", 10)]
     assert counted.where("user_id != 'hot' and count = 10 and session_id = concat(user_id, '_1')").count() == 500
     assert got.count() == 20010
 
 
-def test_both_paths_agree_on_the_test_tables(spark):
-    frame = testtables.events(spark, "/root/testdata/sf0.01")
-    # 150 users; about half of them lie above the threshold.
-    usual, mixed = sessionize(frame), sessionize(frame, busy_rows=66)
-    assert usual.exceptAll(mixed).count() == 0 and mixed.exceptAll(usual).count() == 0
+def test_untimed_events_are_numbered_by_their_columns(spark):
+    """Nulls first, over all ranges of one user's rows, wherever they stand in the input."""
+    products = [None, *range(300)]
+    frame = events(spark, [("u", None, "view", p) for p in reversed(products)] + [("t", None, "view", 5)])
+    got = sessionize(frame.repartition(7)).where("user_id = 'u'").orderBy(F.col("product_id").asc_nulls_first())
+    assert [(r.product_id, r.session_id) for r in got.collect()] == [(p, f"u_{i + 1}") for i, p in enumerate(products)]
 
 
-def test_untimed_numbers_do_not_depend_on_the_path(spark):
-    frame = spark.range(40).select(
-        F.lit("u").alias("user_id"), F.lit(None).cast("timestamp").alias("timestamp"), (F.col("id") % 13).alias("product_id")
-    )
-    usual, busy = sessionize(frame), sessionize(frame, busy_rows=1)
-    assert usual.exceptAll(busy).count() == 0 and busy.exceptAll(usual).count() == 0
-    assert usual.select("session_id").distinct().count() == 40
+def test_ranges_of_untimed_events_share_one_shuffle(spark):
+    """Two shuffles could cut the ranges at different rows."""
+    got = module._number_untimed(events(spark, [("u", None, "view", p) for p in range(100)]), "user_id")
+    got.collect()
+    plan = executed_plan(got).split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1
 
 
-def test_busy_users_beyond_the_list_take_the_usual_path(spark, sf_dir, monkeypatch):
-    frame = testtables.events(spark, sf_dir)
-    expected = sessionize(frame)
-    monkeypatch.setattr(module, "_BUSY_USERS", 4)
-    got = sessionize(frame, busy_rows=0)
-    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+def test_untimed_ids_do_not_depend_on_other_users(spark):
+    rows_of_u = [("u", None, "view", p % 13) for p in range(40)]
+    alone = sessionize(events(spark, rows_of_u))
+    among = sessionize(events(spark, rows_of_u + [(f"v{i}", None, "view", i) for i in range(500)])).where("user_id = 'u'")
+    assert alone.exceptAll(among).count() == 0 and among.exceptAll(alone).count() == 0
 
 
 def test_session_window_agrees(spark, sf_dir):

@@ -50,7 +50,7 @@ def hot_events(spark):
 
 
 def test_busy_slot_is_split(spark):
-    got = sessionize(hot_events(spark), busy_rows=1000)
+    got = sessionize(hot_events(spark))
     assert "SortMergeJoin(skew=true)" in ran(got)
     assert got.count() == 60000
     assert got.where("session_id != concat(user_id, '_1')").count() == 0
