@@ -75,12 +75,31 @@ def document_sizes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _expected_places(sources: DataFrame) -> DataFrame:
+    """One row: ``classes``, an array of (``until``, ``places``). A source's places are spread evenly from 0 to the time
+    of its last one, so sources are gathered by that time on a scale of steps of a quarter of a power of two,
+    which gives a few hundred classes at most, whatever the number of sources."""
+    last = F.col("source_size") * MAX_PASSES / F.col("weight")
+    step = F.ceil(F.log2(last) * 4)
+    per = sources.where("source_size > 0").groupBy(step.alias("step")).agg(F.sum("n_docs").alias("n"))
+    one = F.struct(F.pow(F.lit(2.0), F.col("step") / 4).alias("until"), (F.col("n") * MAX_PASSES).cast("double").alias("places"))
+    return per.agg(F.sort_array(F.collect_list(one)).alias("classes"))
+
+
+def _merged_slice(finish: Column, classes: Column) -> Column:
+    """Slices of about ``ROWS_PER_SLICE`` places each: the number of places expected up to ``finish``, divided."""
+    before = F.aggregate(
+        classes, F.lit(0.0), lambda sum_, c: sum_ + c["places"] * F.least(finish / c["until"], F.lit(1.0))
+    )
+    return F.floor(before / ROWS_PER_SLICE).cast("long")
+
+
 def mix(docs: DataFrame, weight_cycle: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, text_key, size, source_size, target, passes (0 to
     ``MAX_PASSES``), taken (size times passes).
 
     The same table gives the same mix. Null texts have size 0 and are taken as often as their place in the queue
-    says, at no cost. Null sources form one source, the last. Ties of the shuffle key (repeated ids) are ordered
+    says, at no cost; without any word in the table nothing is taken. Null sources form one source, the last. Ties of the shuffle key (repeated ids) are ordered
     by text and size; among rows equal in all of these each takes its own place in the queue. Sources without a
     word have target 0. An empty table gives an empty result. Other columns are ignored.
     """
@@ -101,13 +120,11 @@ def mix(docs: DataFrame, weight_cycle: int = 3) -> DataFrame:
     finish = (F.col("pass") * F.col("source_size") + F.col("words")) / F.col("weight")
     places = queue.select("rank", "weight", "source_size", "budget", "key", "words", "size", "n_docs", F.explode(numbers).alias("pass"))
     places = places.select(finish.alias("finish"), "rank", "pass", "words", "key", "size", "budget")
-    # Virtual time runs evenly (the weights in progress move one word each a unit), so equal ranges of it hold
-    # similar numbers of words; ranges as wide as the mean slice keep each one's rows few at any size.
-    spans = sources.agg(
-        F.greatest(F.sum("n_docs") * MAX_PASSES / ROWS_PER_SLICE, F.lit(1.0)).alias("slices"),
-        F.greatest(F.max(F.col("source_size") * MAX_PASSES / F.col("weight")), F.lit(1.0)).alias("span"),
-    ).select((F.col("slices") / F.col("span")).alias("rate"))
-    places = places.withColumn("slice", F.floor(F.col("finish") * spans.scalar()).cast("long"))
+    # Places without words move no total, however many stand at one time.
+    places = places.where(F.col("size") > 0)
+    profile = stored(_expected_places(sources), "profile")
+    places = places.withColumn("classes", profile.select("classes").scalar())
+    places = places.withColumn("slice", _merged_slice(F.col("finish"), F.col("classes"))).drop("classes")
     order = ["finish", "rank", "pass", "words", "key"]
     merged = running_total(places, "size", "total", slice_by="slice", order_by=order)
     last = stored(
