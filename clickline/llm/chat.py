@@ -11,16 +11,18 @@ appear inside a turn, and each text can be restored exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickline.llm.shared import running_total
-
 HEAD, COLON, END = "### ", ": ", " </turn>\n"
 #: Kinds of event in the order that settles equal ``seq``; ``delta`` alone keeps what was there.
 KINDS = ("message", "edit", "regenerate", "delta")
 #: Events of a conversation that one window orders at once, when ``seq`` is dense.
 EVENTS_PER_SLICE = 4_096
+#: Turns whose places in a text are added up together.
+CHUNK = 256
 
 
 def escape(text: Column) -> Column:
@@ -96,32 +98,60 @@ def render(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) ->
     ``loss_roles``, escapes included and marks not.
 
     Null roles and texts are empty, null turns come first. A rendered conversation is one value, so it must fit a
-    row of Spark (2 GB); its positions are running totals and need no such group.
+    row of Spark (2 GB), and its turns are gathered once, in the row that they become.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(HEAD), escape_role(role), F.lit(COLON))
     rows = messages.select(
         F.struct("conv_id").alias("conv"),
-        F.coalesce(F.col("turn").cast("long"), F.lit(-(2**62))).alias("turn"),
-        F.length(head).alias("head"),
+        F.col("turn").cast("long").alias("turn"),
         F.concat(head, escape(text), F.lit(END)).alias("segment"),
+        F.length(head).alias("head"),
         role.isin(*loss_roles).alias("in_loss"),
-    ).withColumns({"length": F.length("segment").cast("long"), "slice": F.floor(F.col("turn") / EVENTS_PER_SLICE)})
-    rows = running_total(rows, "length", "stop", within="conv", slice_by="slice", order_by=["turn", "segment"])
-    start = F.col("stop") - F.col("length") + F.col("head")
-    span = F.struct(start.alias("start"), (F.col("stop") - len(END)).alias("end"))
-    return (
-        rows.groupBy("conv")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("stop", "segment"))).alias("segments"),
-            F.sort_array(F.collect_list(F.when(F.col("in_loss"), span))).alias("loss"),
-        )
-        .select(
-            F.col("conv.conv_id").alias("conv_id"),
-            F.array_join(F.transform("segments", lambda s: s["segment"]), "").alias("formatted"),
-            "loss",
-        )
     )
+    one = F.struct("turn", "segment", "head", "in_loss")
+    whole = rows.groupBy("conv").agg(F.sort_array(F.collect_list(one)).alias("turns"))
+    starts = _starts(F.transform("turns", lambda t: F.length(t["segment"]).cast("long")))
+
+    def span(t: Column, start: Column) -> Column:
+        end = start + F.length(t["segment"]) - len(END)
+        return F.when(t["in_loss"], F.struct((start + t["head"]).alias("start"), end.alias("end")))
+
+    return whole.withColumn("starts", starts).select(
+        F.col("conv.conv_id").alias("conv_id"),
+        F.array_join(F.transform("turns", lambda t: t["segment"]), "").alias("formatted"),
+        F.array_compact(F.zip_with("turns", "starts", span)).alias("loss"),
+    )
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is evaluated once, however often the lambdas in ``use`` read it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _starts(lengths: Column) -> Column:
+    """The sum of the lengths before each one: within chunks, then over chunks, since an array that grows by
+    one element is copied each time."""
+    none = F.struct(F.lit(0).cast("long").alias("stop"), F.array().cast("array<bigint>").alias("starts"))
+
+    def sums(values: Column, length: Callable[[Column], Column]) -> Column:
+        return F.aggregate(
+            values,
+            none,
+            lambda done, x: F.struct(
+                (done["stop"] + length(x)).alias("stop"), F.concat(done["starts"], F.array(done["stop"])).alias("starts")
+            ),
+        )
+
+    def chunks(every: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(every) - 1, F.lit(0)) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda i: sums(F.slice(every, i * CHUNK + 1, F.lit(CHUNK)), lambda x: x))
+
+    def moved(parts: Column) -> Column:
+        before = sums(parts, lambda part: part["stop"])["starts"]
+        return F.flatten(F.zip_with(parts, before, lambda part, at: F.transform(part["starts"], lambda start: start + at)))
+
+    return _once(_once(lengths, chunks), moved)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -130,16 +160,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     marks = formatted.select(
         "conv_id", "formatted", "loss", F.split("formatted", rf"\Q{END}\E").alias("parts")
     ).withColumn("parts", F.slice("parts", F.lit(1), F.size("parts") - 1))
-    no_starts = F.array().cast("array<bigint>")
-    starts = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).cast("bigint").alias("stop"), no_starts.alias("starts")),
-        lambda done, part: F.struct(
-            (done["stop"] + F.length(part) + len(END)).alias("stop"),
-            F.concat(done["starts"], F.array(done["stop"])).alias("starts"),
-        ),
-    )
-    marks = marks.withColumn("starts", starts["starts"]).withColumn("ends", F.map_from_entries("loss"))
+    marks = marks.withColumn("starts", _starts(F.transform("parts", lambda part: (F.length(part) + len(END)).cast("long"))))
 
     def turn(part: Column, start: Column) -> Column:
         colon = F.locate(COLON, part)
@@ -152,17 +173,30 @@ def read_back(formatted: DataFrame) -> DataFrame:
         )
 
     turns = marks.withColumn("turns", F.zip_with("parts", "starts", turn))
-    covered = F.filter("turns", lambda t: F.element_at("ends", t["start"]).isNotNull())
-    texts = F.transform(
-        covered,
-        lambda t: unescape(
-            F.substring(
-                t["part"],
-                (t["start"] - t["at"] + 1).cast("int"),
-                (F.element_at("ends", t["start"]) - t["start"]).cast("int"),
-            )
+    # Turns and spans in one order: the span of a turn follows it, so none has to be searched for.
+    no_long, no_text = F.lit(None).cast("long"), F.lit(None).cast("string")
+
+    def place(start: Column, span: int, end: Column, part: Column, at: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(span).alias("span"), end.alias("end"), part.alias("part"), at.alias("at"))
+
+    of_turns = F.transform("turns", lambda t: place(t["start"], 0, no_long, t["part"], t["at"]))
+    spans = F.transform("loss", lambda x: place(x["start"], 1, x["end"], no_text, no_long))
+    neighbours = _once(
+        F.sort_array(F.concat(of_turns, spans)),
+        lambda both: F.zip_with(
+            both, F.slice(both, F.lit(2), F.size(both)), lambda t, x: F.struct(t.alias("turn"), x.alias("span"))
         ),
     )
+    covered = F.filter(
+        neighbours,
+        lambda n: (n["turn"]["span"] == 0) & (n["span"]["span"] == 1) & (n["turn"]["start"] == n["span"]["start"]),
+    )
+
+    def text(n: Column) -> Column:
+        first = (n["turn"]["start"] - n["turn"]["at"] + 1).cast("int")
+        return unescape(F.substring(n["turn"]["part"], first, (n["span"]["end"] - n["span"]["start"]).cast("int")))
+
+    texts = F.transform(covered, text)
     return turns.select(
         "conv_id",
         "formatted",

@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickline.llm import chat, mixing, rules
@@ -68,6 +69,23 @@ def test_formatting_is_reversible(spark):
     formatted.unpersist()
 
 
+def test_long_conversations_read_back(spark, monkeypatch):
+    monkeypatch.setattr(chat, "CHUNK", 4)
+    texts = [NASTY[i % len(NASTY)] + "é" * (i % 3) for i in range(41)]
+    rows = [(1, i, i, "message", "assistant" if i % 3 else "user", t, "") for i, t in enumerate(texts)]
+    back = chat.read_back(chat.format_conversations(spark.createDataFrame(rows, EVENTS))).collect()[0]
+    assert [t["text"] for t in back["turns"]] == texts
+    assert list(back["loss_texts"]) == [t for i, t in enumerate(texts) if i % 3]
+
+
+def test_many_turns_read_back_in_one_row(spark):
+    rows = spark.range(30_000).selectExpr(
+        "1L AS conv_id", "id AS seq", "id AS turn", "'message' AS kind", "'assistant' AS role", "string(id) AS text"
+    )
+    back = chat.read_back(chat.format_conversations(rows)).selectExpr("size(turns) AS n", "array_join(loss_texts, ',') AS t")
+    assert back.collect()[0].asDict() == {"n": 30_000, "t": ",".join(map(str, range(30_000)))}
+
+
 def test_no_events(spark):
     assert chat.format_conversations(spark.createDataFrame([], EVENTS)).count() == 0
 
@@ -126,6 +144,25 @@ def test_slices_do_not_change_the_mix(make_docs, monkeypatch):
     assert {(r["doc_id"], r["taken"]) for r in mixing.mix(docs).collect()} == whole
 
 
+def test_merged_slices_hold_similar_numbers_of_rows(make_docs, monkeypatch):
+    """One long source beside short ones: ranges of virtual time must not gather the short ones' rows."""
+    monkeypatch.setattr(mixing, "ROWS_PER_SLICE", 50)
+    rows = [(i, "a b c " * 400, "long") for i in range(60)]
+    rows += [(1000 + i, "a b c", f"s{i % 9}") for i in range(900)]
+    sizes = mixing.document_sizes(make_docs(rows))
+    sources = mixing.source_targets(sizes).cache()
+    classes = mixing._expected_places(sources)
+    at = sizes.join(sources, "source").withColumn(
+        "n", F.row_number().over(Window.partitionBy("source").orderBy("key"))
+    )
+    times = at.select(F.explode(F.sequence(F.lit(0), F.lit(mixing.MAX_PASSES - 1))).alias("pass"), "*").select(
+        ((F.col("pass") + F.col("n") / F.col("n_docs")) * F.col("source_size") / F.col("weight")).alias("finish")
+    )
+    times = times.withColumn("classes", classes.select("classes").scalar())
+    held = times.groupBy(mixing._merged_slice(F.col("finish"), F.col("classes"))).count().collect()
+    assert max(r["count"] for r in held) <= 2 * mixing.ROWS_PER_SLICE
+
+
 def test_empty_mix(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     assert {r["taken"] for r in mixing.mix(make_docs([(1, None), (2, " ")])).collect()} == {0}
