@@ -140,11 +140,11 @@ def anomaly_stage(spark: SparkSession, run: Run) -> None:
 
 def export_stage(spark: SparkSession, run: Run) -> None:
     metrics = run.load(spark, "output/funnel_metrics")
-    top = report.anomaly_export(run.load(spark, "output/anomalies_only"))
+    top = report.anomaly_export(run.load(spark, "output/anomalies_only"), limit=50)
     files.write_json_object(report.summary(metrics), f"{run.out_dir}/output/summary.json")
-    files.write_json_array(report.funnel_steps(metrics), f"{run.out_dir}/output/funnel.json")
+    files.write_json_array(report.funnel_steps(metrics), f"{run.out_dir}/output/funnel.json", most=3)
     order = [F.col("z_score").desc(), "date", "category", "device", "referrer"]
-    files.write_json_array(top, f"{run.out_dir}/output/anomalies.json", order)
+    files.write_json_array(top, f"{run.out_dir}/output/anomalies.json", most=50, order=order)
 
 
 ALL_STAGES: dict[str, Callable[[SparkSession, Run], None]] = {

@@ -76,13 +76,15 @@ def write_json_object(report: DataFrame, path: str) -> None:
     _write_json(report.select(_as_struct(report).alias("value")), path)
 
 
-def write_json_array(report: DataFrame, path: str, order: list[Column] | None = None) -> None:
+def write_json_array(report: DataFrame, path: str, most: int, order: list[Column] | None = None) -> None:
     """Overwrite ``path`` with a report as one indented JSON array, sorted by ``order``.
 
-    Only for reports whose row count has a fixed bound, such as the funnel steps or a top-k.
+    The array is one value, so a report of more than ``most`` rows is an error; it is never cut.
     """
-    rows = report.orderBy(*order) if order else report
-    _write_json(rows.coalesce(1).agg(F.collect_list(_as_struct(report)).alias("value")), path)
+    rows = (report.orderBy(*order) if order else report).limit(most + 1)
+    value = F.collect_list(_as_struct(report))
+    too_many = F.raise_error(F.lit(f"more than {most} rows for one JSON array: {path}"))
+    _write_json(rows.coalesce(1).agg(F.when(F.count("*") > most, too_many).otherwise(value).alias("value")), path)
 
 
 def _as_struct(report: DataFrame) -> Column:

@@ -81,8 +81,12 @@ def test_json_sinks(spark, tmp_path):
     frame = spark.createDataFrame([("b", 2), ("a", 1)], "step string, count bigint")
     files.write_json_lines(frame, str(tmp_path / "lines"))
     assert spark.read.json(str(tmp_path / "lines")).count() == 2
-    files.write_json_array(frame, str(tmp_path / "array"), [F.col("count")])
+    files.write_json_array(frame, str(tmp_path / "array"), 10, [F.col("count")])
     assert document(tmp_path / "array") == [{"step": "a", "count": 1}, {"step": "b", "count": 2}]
+    files.write_json_array(frame, str(tmp_path / "full"), 2)
+    assert len(document(tmp_path / "full")) == 2
+    with pytest.raises(Exception, match="more than 1 rows"):
+        files.write_json_array(frame, str(tmp_path / "over"), 1)
     files.write_json_object(frame.limit(1), str(tmp_path / "object"))
     assert document(tmp_path / "object") == {"step": "b", "count": 2}
     assert '\n  "step"' in parts(tmp_path / "object")[0].read_text()
