@@ -22,7 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = classifier.classify(docs, table(spark, sf_dir, "labels"))
+    """The model is trained on the whole table: the rules may have left no document of label 0 to learn from."""
+    model = classifier.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = classifier.score_documents(docs, model)
     return scored.where("predicted = 1").select("doc.*")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import duckdb
@@ -46,3 +47,21 @@ def test_pipeline(spark, sf_dir):
     assert done.count() == docs.count()
     labels = queries.table(spark, sf_dir, "labels")
     assert docs.join(labels.where("quality = 0"), "doc_id", "left_semi").count() == 0
+
+
+def test_pipeline_classifier_learns_from_documents_the_rules_reject(spark, tmp_path):
+    """Bad documents have a word on each line. The rules see no lines: they reject the labelled ones as too short only."""
+    draw = random.Random(12)
+    vocabulary = ["".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 8))) for _ in range(300)]
+    text = lambda gap, n: gap.join(draw.choice(vocabulary) for _ in range(n))
+    good, short, slipped = range(300), range(300, 400), range(1000, 1005)
+    rows = [(i, text(" ", 200)) for i in good] + [(i, text("\n", 40)) for i in short] + [(i, text("\n", 200)) for i in slipped]
+    docs = [(i, t, "en", "s", len(t)) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(docs, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, 1, 0) for i in good] + [(i, 0, 0) for i in short]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    ids = lambda docs: {r["doc_id"] for r in docs.select("doc_id").collect()}
+    kept = corpus_pipeline.quality_rules(spark, queries.table(spark, tmp_path, "documents"), str(tmp_path)).cache()
+    assert ids(kept) == {*good, *slipped}
+    assert ids(corpus_pipeline.quality_classifier(spark, kept, str(tmp_path))) == set(good)
