@@ -7,6 +7,8 @@ checks the text around each candidate and gives the span and the number of edits
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 
@@ -63,26 +65,42 @@ class NoticeSearch:
         # Whole words only: an edit may not eat into a neighbouring word's inside and call the rest a match.
         self.pattern = regex.compile(rf"(?b)(?<= )(?:{regex.escape(notice, special_only=True)}){{e<={errors}}}(?= )")
 
+    def _best(self, text: bytes, low: int, high: int) -> tuple[int, int, int] | None:
+        """(edits, start, end) of the best match in a stretch of the text."""
+        if high - low < len(self.notice) - self.errors + 2:
+            return None
+        # Latin-1 keeps one character a byte, so positions stay byte positions.
+        match = self.pattern.search(text[low:high].decode("latin-1"))
+        return match and (sum(match.fuzzy_counts), low + match.start(), low + match.end())
+
     def spans(self, text: bytes) -> list[tuple[int, int, int]]:
-        """(start, end, edits) of the best match around every candidate, overlapping ones merged to the best."""
-        windows: list[list[int]] = []
+        """(start, end, edits) of matches that do not overlap, those with the fewest edits first, then the leftmost.
+
+        Each candidate has a stretch of its own, too short for two matches side by side. A match is taken unless it
+        overlaps one already taken; what then is left of its stretch on both sides is searched again, so no place
+        is lost to a better one beside it, and the time grows with the candidates only.
+        """
         reach = len(self.notice) + self.errors
-        near = sorted({at - offset for offset, seed in self.seeds for at in _places(text, seed)})
+        near = {at - offset for offset, seed in self.seeds for at in _places(text, seed)}
+        found: list[tuple[int, int, int, int, int]] = []
+
+        def search(low: int, high: int) -> None:
+            if best := self._best(text, low, high):
+                heapq.heappush(found, (*best, low, high))
+
         for start in near:
-            low = max(0, start - 2 * self.errors - 2)
-            high = min(len(text), start + reach + 2 * self.errors + 2)
-            if windows and low <= windows[-1][1]:
-                windows[-1][1] = max(high, windows[-1][1])
+            search(max(0, start - 2 * self.errors - 2), min(len(text), start + reach + 2 * self.errors + 2))
+        taken: list[tuple[int, int, int]] = []
+        while found:
+            edits, start, end, low, high = heapq.heappop(found)
+            i = bisect.bisect_left(taken, (end,))
+            if i and taken[i - 1][1] > start:
+                start, end, _ = taken[i - 1]
             else:
-                windows.append([low, high])
-        found = []
-        for low, high in windows:
-            # Latin-1 keeps one character a byte, so positions stay byte positions.
-            at, part = 0, text[low:high].decode("latin-1")
-            while match := self.pattern.search(part, at):
-                found.append((low + match.start(), low + match.end(), sum(match.fuzzy_counts)))
-                at = max(match.end(), at + 1)
-        return found
+                taken.insert(i, (start, end, edits))
+            search(low, start)
+            search(end, high)
+        return taken
 
 
 def scan(text: str | None, searches: list[NoticeSearch], phrases: dict[str, str]) -> tuple:

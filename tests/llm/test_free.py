@@ -324,3 +324,20 @@ def test_gradients():
     again = classifier.fit(x, counts, np.array([1, 0, 1]))
     assert all((a == b).all() for a, b in zip(model.weights(), again.weights(), strict=True))
     assert ((model.predict(x, counts) > 0.5) == [True, False, True]).all()
+
+
+def test_close_notices_are_all_found():
+    search = licenses.NoticeSearch("gnu general public license", "gpl", 2)
+    forms = {"gnu general public license": 0, "gnu generl public license": 1, "gnu generl public licens": 2}
+    draw = random.Random(10)
+    cases = [["gnu generl public license"] * 20 + ["gnu general public license"]]
+    cases += [[draw.choice(list(forms)) for _ in range(draw.randrange(2, 30))] for _ in range(40)]
+    for notices in cases:
+        for gap in (" ", " x ", " and the "):
+            text = gap + gap.join(notices) + gap
+            want, at = [], 0
+            for notice in notices:
+                at = text.index(notice, at)
+                want.append((at, at + len(notice), forms[notice]))
+                at += len(notice)
+            assert search.spans(text.encode()) == want
