@@ -44,17 +44,20 @@ def _byte_characters() -> dict[int, str]:
 
 
 class TextEncoder:
-    """Whole texts to ids by a tokenizers file, special tokens being ordinary text.
+    """Whole texts to ids by a tokenizers file. Its added tokens are found inside texts, as the library does by
+    default; with ``special_as_text`` the special ones are ordinary text.
 
     A plain byte-level BPE file (no normalizer, the public pattern) is applied stretch by stretch, each distinct one
-    once; any other file is applied to whole texts.
+    once; any other file, and any text that holds an added token, is left to the library as a whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not (special_as_text and t.special)]
         with open(path, encoding="utf-8") as file:
             form = json.load(file)
         before, model = form.get("pre_tokenizer") or {}, form["model"]
@@ -85,19 +88,30 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if self.plain:
-            return self.remembered.encode(texts)[0]
-        coded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<i4").tobytes() for x in coded]
-
-
-def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, files: int | None = None) -> None:
+        whole = [i for i, text in enumerate(texts) if not self.plain or any(t in text for t in self.added)]
+        coded = self.tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False)
+        by_library = {i: np.array(x.ids, "<i4").tobytes() for i, x in zip(whole, coded, strict=True)}
+        if len(whole) == len(texts):
+            return list(by_library.values())
+        others = iter(self.remembered.encode([text for i, text in enumerate(texts) if i not in by_library])[0])
+        return [by_library[i] if i in by_library else next(others) for i in range(len(texts))]
+
+
+def write_token_files(
+    docs: DataFrame,
+    path: str,
+    tokenizer: str | None = None,
+    files: int | None = None,
+    special_as_text: bool = True,
+) -> None:
     """Encodes ``docs`` (doc_id, text) and writes ORC files to ``path``: doc_id, ids, part, row.
 
     ``part`` numbers the files and ``row`` the rows in each, in ascending order of doc_id (nulls first; rows that
     share an id by a hash of their text, so that they too spread over files). Null and empty texts hold only the
     end id. Long texts are encoded whole. Repeated rows are all written. Other columns are ignored; an empty table
-    writes a folder with no rows. ``files`` defaults to one for each ``BYTES_PER_FILE`` of text.
+    writes a folder with no rows. ``files`` defaults to one for each ``BYTES_PER_FILE`` of text. ``special_as_text``
+    writes special tokens that stand in a text as ordinary text; without it they are found there, as the library does by
+    default.
     """
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     spark = docs.sparkSession
@@ -112,7 +126,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = for_worker(f"tokenizer {tokenizer}", lambda: TextEncoder(tokenizer))
+        key = f"tokenizer {tokenizer} {special_as_text}"
+        encoder = for_worker(key, lambda: TextEncoder(tokenizer, special_as_text))
         row, end = 0, np.array([END_ID], "<i4").tobytes()
         for batch in batches:
             ids = id_lists([x + end for x in encoder.encode(batch.column(1).to_pylist())])
@@ -160,7 +175,8 @@ def token_index(files: DataFrame) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``token_index`` of files written to the shared folder and read back."""
+    """``token_index`` of files written to the shared folder and read back; ids are the library's by default, so added
+    tokens inside texts are found."""
     path = scratch_path(docs.sparkSession, "tokens")
-    write_token_files(docs, path, tokenizer)
+    write_token_files(docs, path, tokenizer, special_as_text=False)
     return token_index(read_token_files(docs.sparkSession, path))

@@ -341,3 +341,14 @@ def test_close_notices_are_all_found():
                 want.append((at, at + len(notice), forms[notice]))
                 at += len(notice)
             assert search.spans(text.encode()) == want
+
+
+def test_token_files_are_what_the_library_gives_by_default(make_docs):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*drawn_texts(30, 5), "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext |>", "plain"]
+    start = 0
+    for r in token_files.round_trip(make_docs([*enumerate(texts)])).orderBy("start").collect():
+        ids = [*library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 0]
+        assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        assert r["start"] == start
+        start += r["n_tokens"]
