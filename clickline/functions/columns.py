@@ -16,6 +16,12 @@ def parse_time(column: str, pattern: str) -> Column:
     return F.try_to_timestamp(F.col(column), F.lit(pattern))
 
 
+def parse_time_or_iso(column: str, pattern: str) -> Column:
+    """Like ``parse_time``; a text that does not fit may also be an ISO date, alone or with a time, with a zone or not."""
+    iso = F.when(F.col(column).rlike(r"^\s*\d{4}-\d{2}-\d{2}([ T]\d.*)?\s*$"), F.col(column))
+    return F.coalesce(parse_time(column, pattern), iso.try_cast("timestamp"))
+
+
 def whole_seconds(column: str) -> Column:
     """Seconds since the epoch, sub-second part cut off (floor)."""
     return F.unix_seconds(F.col(column))

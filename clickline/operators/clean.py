@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickline.functions.columns import parse_time, tidy
+from clickline.functions.columns import parse_time_or_iso, tidy
 
 # Time formats of the raw files.
 EVENT_TIME_FORMAT = "dd-MM-yyyy HH:mm"
@@ -19,7 +19,7 @@ def clean_events(raw: DataFrame, drop_unparsed: bool = False) -> DataFrame:
     """
     events = raw.dropna(subset=["customer_id", "timestamp", "product_id"]).select(
         F.col("customer_id").alias("user_id"),
-        parse_time("timestamp", EVENT_TIME_FORMAT).alias("timestamp"),
+        parse_time_or_iso("timestamp", EVENT_TIME_FORMAT).alias("timestamp"),
         tidy("event_type").alias("event_type"),
         F.col("product_id"),
         tidy("device_type").alias("device"),
@@ -33,12 +33,36 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     orders = raw.select(
         F.col("transaction_id").alias("order_id"),
         F.col("customer_id").alias("user_id"),
-        parse_time("timestamp", ORDER_TIME_FORMAT).alias("timestamp"),
+        parse_time_or_iso("timestamp", ORDER_TIME_FORMAT).alias("timestamp"),
         F.col("gross_revenue").alias("total_amount"),
     )
     return orders.dropna(subset=["order_id", "user_id", "timestamp"])
 
 
+def rejects(events: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per raw table: its rows, those that cleaning drops, and those with a time text that does not parse."""
+
+    def counts(raw: DataFrame, name: str, keys: list[str], time_format: str | None, times_are_needed: bool) -> DataFrame:
+        no_key, lost = F.lit(False), F.lit(False)
+        for key in keys:
+            no_key = no_key | F.col(key).isNull()
+        if time_format:
+            lost = F.col("timestamp").isNotNull() & parse_time_or_iso("timestamp", time_format).isNull()
+            no_key = no_key | F.col("timestamp").isNull()
+        return raw.agg(
+            F.lit(name).alias("source"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if((no_key | lost) if times_are_needed else no_key).alias("dropped"),
+            F.count_if(lost).alias("unparsed_times"),
+        )
+
+    return (
+        counts(events, "events", ["customer_id", "product_id"], EVENT_TIME_FORMAT, False)
+        .unionByName(counts(orders, "orders", ["transaction_id", "customer_id"], ORDER_TIME_FORMAT, True))
+        .unionByName(counts(products, "products", ["product_id"], None, False))
+    )
+
+
 def clean_catalog(raw: DataFrame) -> DataFrame:
     """One row per product: the smallest (category, brand, price), nulls first.
 

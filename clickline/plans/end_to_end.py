@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickline.operators import anomaly, attribute, clean, funnel, report
 from clickline.operators.scale import scale_up
@@ -79,7 +80,12 @@ class Run:
     files_per_table: int | None = None
 
     def load(self, spark: SparkSession, table: str) -> DataFrame:
-        return files.read_table(spark, f"{self.out_dir}/{table}", _TABLES[table])
+        """A stored stage table; its ids have the type they were stored with, number or text."""
+        path, schema = f"{self.out_dir}/{table}", _TABLES[table]
+        if ids := {"product_id", "order_id"} & set(schema.names):
+            stored = files.read_table(spark, path).schema
+            schema = schemas.with_text(schema, *[i for i in ids if stored[i].dataType == T.StringType()])
+        return files.read_table(spark, path, schema)
 
     def store(self, df: DataFrame, table: str) -> None:
         """A table with one row per event or order."""
@@ -104,13 +110,24 @@ _TABLES = {
 }
 
 
+def read_raw(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events, transactions and products. Ids are numbers where all of them are, else text; product ids are of one
+    type in both tables that hold them, so no id becomes null."""
+    paths = (run.events_csv, run.transactions_csv, run.products_csv)
+    events, orders, products = (files.read_csv_text(spark, path) for path in paths)
+    number = T.LongType()
+    text_ids = ["product_id"] if files.holds_other_than([products, events], "product_id", number) else []
+    text_ids += ["transaction_id"] if files.holds_other_than([orders], "transaction_id", number) else []
+    kinds = (schemas.RAW_EVENTS, schemas.RAW_TRANSACTIONS, schemas.RAW_PRODUCTS)
+    return tuple(files.read_csv(spark, path, schemas.with_text(kind, *text_ids)) for path, kind in zip(paths, kinds, strict=True))
+
+
 def preprocessing_stage(spark: SparkSession, run: Run) -> None:
-    events = files.read_csv(spark, run.events_csv, schemas.RAW_EVENTS)
+    events, orders, products = read_raw(spark, run)
     run.store(clean.clean_events(events), "cleaned/events_clean")
-    orders = files.read_csv(spark, run.transactions_csv, schemas.RAW_TRANSACTIONS)
     run.store(clean.clean_orders(orders), "cleaned/orders_clean")
-    products = files.read_csv(spark, run.products_csv, schemas.RAW_PRODUCTS)
     run.store_small(clean.clean_catalog(products), "cleaned/catalog_clean")
+    run.store_small(clean.rejects(events, orders, products), "cleaned/rejects")
 
 
 def sessionization_stage(spark: SparkSession, run: Run) -> None:

@@ -29,6 +29,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def holds_other_than(texts: list[DataFrame], column: str, kind: T.DataType) -> bool:
+    """Whether ``column`` holds, in any of some tables of text, a value that does not fit a type. Runs a job on each."""
+    other = F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
+    return any(not text.where(other).isEmpty() for text in texts)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet stage directory."""
     reader = spark.read if schema is None else spark.read.schema(schema)

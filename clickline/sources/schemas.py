@@ -22,6 +22,13 @@ RAW_TRANSACTIONS = _schema(
 )
 RAW_PRODUCTS = _schema(product_id=_long, category=_text, brand=_text, base_price=_real)
 
+
+
+def with_text(schema: T.StructType, *names: str) -> T.StructType:
+    """``schema`` with the columns ``names`` as text."""
+    return T.StructType([T.StructField(f.name, _text if f.name in names else f.dataType, True) for f in schema.fields])
+
+
 EVENTS_CLEAN = _schema(
     user_id=_text, timestamp=_time, event_type=_text, product_id=_long,
     device=_text, referrer=_text,

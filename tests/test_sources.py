@@ -182,3 +182,31 @@ def test_show_prints_schema_count_and_rows(spark, tmp_path, capsys):
 def test_a_failing_stage_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         main(["run", "/none/e", "/none/t", "/none/p", str(tmp_path / "out")], spark)
+
+
+def test_text_ids_and_both_time_forms_pass_through_a_run(spark, tmp_path):
+    (tmp_path / "e.csv").write_text(
+        "customer_id,timestamp,event_type,product_id,device_type,traffic_source\n"
+        "u,05-01-2024 09:00,view,P12,Mobile,Email\n"
+        "u,2024-01-05T09:10:00,purchase,7,Mobile,Email\n"
+        "u,never,view,7,Mobile,Email\n"
+        "u,05-01-2024 09:00,view,,Mobile,Email\n"
+    )
+    (tmp_path / "t.csv").write_text(
+        "transaction_id,customer_id,timestamp,gross_revenue\n"
+        "T1,u,2024-01-05 10:00:00,1.0\n"
+        "2,u,2024-01-05T10:00:00,2.0\n"
+        "3,u,2024-01-05 10:00:00.5,3.0\n"
+        "4,u,soon,4.0\n"
+        "5,u,2024,5.0\n"
+    )
+    (tmp_path / "p.csv").write_text("product_id,category,brand,base_price\nP12,Toys,b,1.0\n7,Books,b,2.0\n")
+    main(["run", *[str(tmp_path / f"{n}.csv") for n in "etp"], str(tmp_path / "out")], spark)
+    load = lambda name: spark.read.parquet(str(tmp_path / "out" / name))
+    assert rows(load("cleaned/events_clean"), "product_id") == [("7",), ("7",), ("P12",)]
+    assert load("cleaned/events_clean").where("timestamp is null").count() == 1
+    assert rows(load("cleaned/orders_clean"), "order_id") == [("2",), ("3",), ("T1",)]
+    assert rows(load("cleaned/catalog_clean"), "product_id", "category") == [("7", "books"), ("P12", "toys")]
+    assert rows(load("output/attributed_orders"), "order_id", "marketing_channel") == [("2", "email"), ("3", "email"), ("T1", "email")]
+    assert {"toys", "books"} <= {r.category for r in load("output/funnel_metrics").collect()}
+    assert rows(load("cleaned/rejects")) == [("events", 4, 1, 1), ("orders", 5, 2, 2), ("products", 2, 0, 0)]
