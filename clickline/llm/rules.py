@@ -18,8 +18,6 @@ SYMBOLS = "#*$%&|<>"
 PIECE_PATTERN = r"[\p{L}\p{N}]++|[^\s\p{L}\p{N}]++"
 #: Buckets of either multinomial; the ratio table holds so many doubles and no more.
 N_BUCKETS = 10_000
-#: Labelled rows that the trusted multinomial is counted on, at most (smallest md5 of the id first).
-TRUSTED_ROWS = 20_000
 #: Added to every bucket's count.
 SMOOTHING = 1.0
 #: Documents whose mean log ratio per n-gram is below this are rejected.
@@ -88,18 +86,19 @@ def _buckets(text: Column) -> Column:
     return F.flatten(F.transform(F.array(pieces), grams))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``limit`` ids of documents labelled good and never labelled bad."""
-    good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
-    return good.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(limit).select("doc_id")
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all documents labelled good and never labelled bad."""
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
+    return known.where("q = 1").select("doc_id")
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row with ``ratios``: log p(trusted) - log p(corpus) per bucket, for all buckets in order.
 
-    The corpus counts cover every n-gram of every document; only ``trusted`` (ids, bounded) is a sample.
+    The corpus counts cover every n-gram of every document, the others every one of the documents in ``trusted`` (ids).
     """
-    ids = F.broadcast(trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted")))
+    # No hint: Spark broadcasts the ids below its threshold and shuffles more of them.
+    ids = trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))
     grams = (
         docs.select("doc_id", "text")
         .join(ids, F.col("doc_id") == F.col("_id"), "left")

@@ -224,3 +224,9 @@ def test_ratios_match_plain_python(spark, make_docs):
 def test_no_documents(spark, make_docs):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert rules.quality_rules(make_docs([]), labels).count() == 0
+
+
+def test_every_trusted_document_counts(spark):
+    labels = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    bad = spark.createDataFrame([(7, 0), (None, 1)], "doc_id long, quality int")
+    assert rules.trusted_ids(labels.unionByName(bad)).count() == 20_499
