@@ -20,13 +20,13 @@ DIRECT = "direct"
 
 
 def touchpoints(sessions: DataFrame) -> DataFrame:
-    """Events of any type that came through a known channel other than ``direct``."""
-    return sessions.where(F.col("referrer").isNotNull() & (F.col("referrer") != DIRECT)).select(
-        "user_id",
-        F.col("timestamp").alias("event_time"),
-        F.col("referrer").alias("marketing_channel"),
-        "session_id",
-    )
+    """Events of any type that came through a known channel other than ``direct``.
+
+    Where touches are only counted, plain events will do; they have no ``session_id``.
+    """
+    columns = {"user_id": "user_id", "timestamp": "event_time", "referrer": "marketing_channel", "session_id": "session_id"}
+    known = F.col("referrer").isNotNull() & (F.col("referrer") != DIRECT)
+    return sessions.where(known).select(*[F.col(c).alias(to) for c, to in columns.items() if c in sessions.columns])
 
 
 def last_touch(

@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,10 +67,9 @@ def test_each_untimed_event_is_its_own_leading_session(spark):
     assert rows(got.where("timestamp is not null"), "session_id") == [("u_4",)]
 
 
-def test_many_untimed_copies_are_numbered_without_gaps(spark, monkeypatch):
-    monkeypatch.setattr(module, "_CHUNK", 7)
+def test_many_untimed_copies_are_numbered_without_gaps(spark):
     frame = events(spark, [("u", None, "view", p) for p in range(40)] + [("u", None)] * 50 + [("v", None)] * 3)
-    got = sessionize(frame)
+    got = sessionize(frame.repartition(5))
     assert sorted(int(r.session_id.split("_")[1]) for r in got.where("user_id = 'u'").collect()) == list(range(1, 91))
     assert sorted(r.session_id for r in got.where("user_id = 'v'").collect()) == ["v_1", "v_2", "v_3"]
 
@@ -104,25 +105,75 @@ def test_equals_a_row_by_row_walk(spark, gap):
     assert got == sorted(expected, key=lambda t: tuple((True, str(v)) for v in t))
 
 
-def test_events_are_read_once_for_slots_and_once_for_rows(spark, sf_dir):
-    got = module._number_timed(testtables.events(spark, sf_dir), 1800, "user_id", "timestamp")
-    got.collect()
-    plan = executed_plan(got).split("Initial Plan")[0]
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 1
-    # Windows stand above the aggregate over slots or above what reuses it.
-    at = plan.find("Window [")
-    while at >= 0:
-        assert "HashAggregate" in plan[at:] or "ReusedExchange" in plan[at:]
-        at = plan.find("Window [", at + 1)
-
-
-def test_blocks_do_not_change_the_numbers(spark, monkeypatch):
-    frame = testtables.events(spark, "/root/testdata/sf0.01")
-    expected = sessionize(frame, gap_seconds=59)
-    monkeypatch.setattr(module, "_SLOTS_PER_BLOCK", 3)
-    got = sessionize(frame, gap_seconds=59)
-    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+def numbers_by_walk(data, gap):
+    """(user, time, session) of timed rows, one after the other."""
+    last, number, walked = {}, {}, []
+    for user, at in sorted(data, key=lambda row: (str(row[0]), row[1])):
+        if user not in last or at - last[user] > gap:
+            number[user] = number.get(user, 0) + 1
+        last[user] = at
+        walked.append((user, at, number[user]))
+    return walked
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "31"])
+def test_ranges_may_cut_users_anywhere(spark, partitions):
+    """A few users over many ranges, so that most ranges begin inside a user, and some hold one user only."""
+    draw = random.Random(int(partitions))
+    data = [(draw.choice("aaab") if i % 5 else f"u{i}", draw.randrange(0, 40000, 7)) for i in range(3000)]
+    frame = spark.createDataFrame(data, "user_id string, at long").repartition(6)
+    frame = frame.withColumn("timestamp", F.timestamp_seconds("at"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = sessionize(frame, gap_seconds=20).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = sorted((u, at, f"{u}_{n}") for u, at, n in numbers_by_walk(data, 20))
+    assert sorted((r.user_id, r.at, r.session_id) for r in got) == want
+
+
+def test_small_batches_do_not_change_the_numbers(spark):
+    frame = testtables.events(spark, "/root/testdata/sf0.001")
+    expected = sessionize(frame, gap_seconds=3600).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sessionize(frame, gap_seconds=3600).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+
+
+def test_held_seconds_are_folded(monkeypatch):
+    """The first pass gives the same row however often it folds, and whatever the order of the rows."""
+    draw = np.random.default_rng(3)
+    users, seconds = draw.integers(0, 3, 5000), draw.integers(0, 90000, 5000)
+
+    def ends(step):
+        schema = ["_range", "_key", "_user", "_seconds", "_check"]
+        parts = [slice(i, i + step) for i in range(0, 5000, step)]
+        columns = lambda p: [np.full(len(users[p]), 4, np.int32), users[p], users[p], seconds[p], seconds[p]]
+        batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in columns(p)], schema) for p in parts)
+        names = ["_range", "_user", "_range_check", "_sessions", "_first", "_last"]
+        return [b.to_pylist() for b in module._last_users(5, names)(batches)]
+
+    at_once = ends(5000)
+    monkeypatch.setattr(module, "_HELD_SECONDS", 10)
+    assert ends(17) == at_once
+    mine = sorted(set(seconds[users == 2].tolist()))
+    assert at_once[0][0]["_sessions"] == 1 + sum(b - a > 5 for a, b in zip(mine, mine[1:]))
+
+
+def test_other_ranges_in_the_second_pass_are_an_error():
+    number = module._numbering(5).func
+    columns = [pa.array(["u"]), *(pa.array([v], pa.int64()) for v in (3, None, None, 77, 78))]
+    with pytest.raises(RuntimeError, match="exchange.reuse"):
+        list(number(iter([tuple(columns)])))
+
+
+def test_columns_without_an_order_are_kept(spark):
+    frame = events(spark, [("u", "2024-01-01 10:00:00"), ("u", None)]).withColumn("tags", F.create_map(F.lit("a"), "user_id"))
+    assert rows(sessionize(frame).select("session_id", "tags")) == [("u_1", {"a": "u"}), ("u_2", {"a": "u"})]
 
 
 def test_one_user_with_most_rows(spark):
@@ -153,12 +204,14 @@ def test_untimed_events_are_numbered_by_their_columns(spark):
     assert [(r.product_id, r.session_id) for r in got.collect()] == [(p, f"u_{i + 1}") for i, p in enumerate(products)]
 
 
-def test_ranges_of_untimed_events_share_one_shuffle(spark):
-    """Two shuffles could cut the ranges at different rows."""
-    got = module._number_untimed(events(spark, [("u", None, "view", p) for p in range(100)]), "user_id")
-    got.collect()
-    plan = executed_plan(got).split("Initial Plan")[0]
-    assert plan.count("ReusedExchange") == 1
+def test_both_passes_share_one_shuffle(spark, sf_dir):
+    """Two shuffles could cut the ranges at different rows. Fewer columns asked for must not part them."""
+    got = sessionize(testtables.events(spark, sf_dir))
+    for frame in (got, got.groupBy("user_id").agg(F.max("session_id"))):
+        frame.collect()
+        plan = executed_plan(frame).split("== Initial Plan ==")
+        assert "ReusedExchange" in "".join(plan)
+        assert plan[0].count("Exchange rangepartitioning") - plan[0].count("], Exchange rangepartitioning") == 1
 
 
 def test_untimed_ids_do_not_depend_on_other_users(spark):

@@ -49,11 +49,16 @@ def hot_events(spark):
     )
 
 
-def test_busy_slot_is_split(spark):
-    got = sessionize(hot_events(spark))
-    assert "SortMergeJoin(skew=true)" in ran(got)
-    assert got.count() == 60000
-    assert got.where("session_id != concat(user_id, '_1')").count() == 0
+def test_busy_user_and_busy_second_are_split(spark):
+    """The hot user has two thirds of the rows, all in one minute or all equal; no task gets twice its share."""
+    one_row = hot_events(spark).withColumns(
+        {"timestamp": F.timestamp_seconds(F.lit(1704067200)), "referrer": F.lit("email"), "product_id": F.lit(1).cast("long")}
+    )
+    for frame in (hot_events(spark), one_row):
+        got = sessionize(frame)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 60000 and max(sizes) < 2 * 60000 / 8
+        assert got.where("session_id != concat(user_id, '_1')").count() == 0
 
 
 def test_busy_order_second_is_split(spark):
