@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickline.llm import bpe, chat, classifier, jaccard, licenses, mixing, rules, token_files, urls, vectors
+from clickline.llm import bpe, chat, classifier, jaccard, licenses, mixing, pii, repair, rules, spelling, token_files, urls, vectors
 
 URL_RULES = [
     ("org", "/", "allow"),
@@ -100,6 +100,31 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the spans as written; ``spans`` lists the disguised ones too."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), *counts, _sha256(listed(base)).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
+def structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": chat_formatting,
@@ -112,4 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_level_bpe": byte_level_bpe,
         "op9_quality_classifier": quality_classifier,
         "op10_license_scans": license_scans,
+        "op11_spelling_variants": spelling_variants,
+        "op12_personal_data": personal_data,
+        "op13_structure_repair": structure_repair,
     }
