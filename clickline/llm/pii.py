@@ -174,7 +174,7 @@ def spelled_digits(text: str) -> Edits:
 _BRACKETED = re.compile(r"(?i)[ \t]{0,3}[(\[{<][ \t]{0,3}(at|@|dot|\.|plus)[ \t]{0,3}[)\]}>][ \t]{0,3}")
 # "look at the dot" is no address.
 _BARE_AT = re.compile(
-    r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{1,3}at[ \t]{1,3}(?!(?:a|an|the|this|that|my|your|our|his|her|its|their|every|each|one)[ \t])"
+    r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{1,3}at[ \t]{1,3}(?!(?:a|an|the|this|that|my|your|our|his|her|its|their|every|each|one|at|dot)[ \t])"
     r"(?=[A-Za-z0-9-]{1,63}(?:(?:[ \t]{1,3}dot[ \t]{1,3}|[ \t]{0,3}[(\[{<][ \t]{0,3}(?:dot|\.)[ \t]{0,3}[)\]}>][ \t]{0,3})[A-Za-z0-9-]{1,63})+)"
 )
 _BARE_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9-])[ \t]{1,3}dot[ \t]{1,3}(?=[A-Za-z0-9-])")

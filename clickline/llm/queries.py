@@ -111,11 +111,11 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
+    counts = [count(kind) for kind in pii.KINDS]
     return found.select(
         F.col("doc.doc_id").alias("doc_id"), *counts, _sha256(listed(base)).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )

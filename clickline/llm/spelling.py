@@ -71,8 +71,7 @@ def group_variants(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     )
     left = classed.select(F.col("class").alias("source"), "word", "n")
     right = classed.select(F.col("class").alias("target"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    one_edit = F.levenshtein("word", "other", 1) == 1
-    pairs = near_classes.join(left, "source").join(right, "target").where(one_edit).select("word", "n", "other", "other_n")
+    pairs = near_classes.join(left, "source").join(right, "target").where(_one_edit("word", "other"))
     # A deletion is met from the longer word only.
     shorter = F.length("word") > F.length("other")
     here = F.struct("word", "n", "other", "other_n")
@@ -100,6 +99,20 @@ def group_variants(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
+def _one_edit(word: str, other: str) -> Column:
+    """Whether two words of which the second is not longer are one edit apart. Spark's edit distance takes the square of the
+    length, so long words are compared before and after the end of their common prefix."""
+    a, b = F.col(word), F.col(other)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(30))])
+    shared = F.aggregate(
+        steps, F.lit(0), lambda upto, step: F.when(F.left(a, upto + step) == F.left(b, upto + step), upto + step).otherwise(upto)
+    )
+    rest = F.substr(b, shared + F.when(F.length(a) == F.length(b), 2).otherwise(1))
+    by_prefix = (a != b) & (F.substr(a, shared + 2) == rest)
+    near = F.when(F.length(a) <= 64, F.levenshtein(a, b, 1) == 1).otherwise(by_prefix)
+    return (F.length(a) - F.length(b)).isin(0, 1) & near
+
+
 def _roots(forms: DataFrame) -> DataFrame:
     """(word, root) of every word that has a form. A form is five times as frequent as its word, so chains are short and
     have no circle; each round doubles the steps taken."""
@@ -187,20 +200,27 @@ def _batch(held: list[np.ndarray]) -> pa.RecordBatch:
 
 def _pairs(reduced: list[bytes], symbols: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for length, _, matrix in _by_length(reduced):
-        own, powers = _hashes(matrix), _powers(length)
+        own = _hashes(matrix)
         yield own, own
-        with np.errstate(over="ignore"):
-            plain = own - _wrapping(length * _PER_LENGTH)
-            shorter = _wrapping((length - 1) * _PER_LENGTH)
-            before = np.zeros(len(matrix), np.uint64)
-            for place in range(length):
-                here = matrix[:, place].astype(np.uint64)
-                upto = before + (here + np.uint64(1)) * powers[place]
-                # Deleting one of several equal symbols in a row gives the same word: only the last one counts.
-                ends = np.ones(len(matrix), bool) if place + 1 == length else matrix[:, place] != matrix[:, place + 1]
-                deleted = before + (plain - upto) * np.uint64(_INVERSE) + shorter
-                yield own[ends], deleted[ends]
-                for step in range(1, symbols):
-                    other = (here + np.uint64(step)) % np.uint64(symbols)
-                    yield own, own + (other - here) * powers[place]
-                before = upto
+        powers = _powers(length)[:length]
+        # Places of a word are worked on together, words of a length in blocks that bound what is held.
+        block = max(1, _PAIRS_PER_BATCH // (length * symbols))
+        for first in range(0, len(matrix), block):
+            yield from _edited(matrix[first : first + block], own[first : first + block], powers, symbols)
+
+
+def _edited(matrix: np.ndarray, own: np.ndarray, powers: np.ndarray, symbols: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    length = matrix.shape[1]
+    with np.errstate(over="ignore"):
+        here = matrix.astype(np.uint64)
+        upto = np.cumsum((here + np.uint64(1)) * powers, axis=1, dtype=np.uint64)
+        before = upto - (here + np.uint64(1)) * powers
+        # Deleting one of several equal symbols in a row gives the same word: only the last one counts.
+        ends = np.ones(matrix.shape, bool)
+        ends[:, :-1] = matrix[:, :-1] != matrix[:, 1:]
+        deleted = before + (upto[:, -1:] - upto) * np.uint64(_INVERSE) + _wrapping((length - 1) * _PER_LENGTH)
+        sources = np.repeat(own, length).reshape(matrix.shape)
+        yield sources[ends], deleted[ends]
+        for step in range(1, symbols):
+            other = (here + np.uint64(step)) % np.uint64(symbols)
+            yield sources.ravel(), (sources + (other - here) * powers).ravel()
