@@ -40,11 +40,6 @@ def share(part: str, whole: str, digits: int | None = 4) -> Column:
     return F.when(F.col(whole) > 0, ratio).otherwise(F.lit(0.0))
 
 
-def exact_sum(column: str, scale: int = 6) -> Column:
-    """Sum of a double column through decimals, so the result does not depend on row order."""
-    return F.sum(F.col(column).cast(f"decimal(28,{scale})")).cast("double")
-
-
 def exact_mean(column: str, scale: int = 4) -> Column:
     """Mean of values that carry ``scale`` decimals, through decimals: no float noise before rounding."""
     return F.avg(F.col(column).cast(f"decimal(18,{scale})"))

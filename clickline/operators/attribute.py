@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickline.functions.columns import exact_sum, slot_start, whole_seconds
+from clickline.functions.columns import slot_start, whole_seconds
+from clickline.functions.sums import sum_exactly
 
 DEFAULT_LOOKBACK_SECONDS = 604800
 DIRECT = "direct"
@@ -143,12 +144,9 @@ def lookback_counts(
 
 
 def channel_revenue(attributed: DataFrame) -> DataFrame:
-    """Revenue per channel, largest first."""
-    return (
-        attributed.groupBy("marketing_channel")
-        .agg(F.round(exact_sum("total_amount"), 2).alias("total_revenue"))
-        .orderBy(F.col("total_revenue").desc(), F.col("marketing_channel").asc())
-    )
+    """Revenue per channel, largest first; the sums do not depend on the order of the rows."""
+    revenue = sum_exactly(attributed, ["marketing_channel"], "total_amount", "total_revenue")
+    return revenue.orderBy(F.col("total_revenue").desc(), F.col("marketing_channel").asc())
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
