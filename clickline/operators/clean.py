@@ -39,8 +39,12 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     return orders.dropna(subset=["order_id", "user_id", "timestamp"])
 
 
-def rejects(events: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per raw table: its rows, those that cleaning drops, and those with a time text that does not parse."""
+def rejects(
+    events: DataFrame, orders: DataFrame, products: DataFrame, lost_amounts: tuple[int, int, int] | list[int] = (0, 0, 0)
+) -> DataFrame:
+    """One row per raw table: its rows, those that cleaning drops, those with a time text that does not parse, and those with an
+    amount that is no number, as counted where the text was read."""
+    lost_amount = dict(zip(("events", "orders", "products"), lost_amounts, strict=True))
 
     def counts(raw: DataFrame, name: str, keys: list[str], time_format: str | None, times_are_needed: bool) -> DataFrame:
         no_key, lost = F.lit(False), F.lit(False)
@@ -54,6 +58,7 @@ def rejects(events: DataFrame, orders: DataFrame, products: DataFrame) -> DataFr
             F.count(F.lit(1)).alias("row_count"),
             F.count_if((no_key | lost) if times_are_needed else no_key).alias("dropped"),
             F.count_if(lost).alias("unparsed_times"),
+            F.lit(lost_amount[name]).cast("long").alias("unparsed_amounts"),
         )
 
     return (

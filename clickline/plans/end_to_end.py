@@ -110,24 +110,27 @@ _TABLES = {
 }
 
 
-def read_raw(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Events, transactions and products. Ids are numbers where all of them are, else text; product ids are of one
-    type in both tables that hold them, so no id becomes null."""
+def read_raw(spark: SparkSession, run: Run) -> tuple[list[DataFrame], list[int]]:
+    """Events, transactions and products, and how many amounts in each are no numbers (they become null). Ids are numbers
+    where all of them are, else text; product ids are of one type in both tables that hold them, so no id becomes null.
+    What fits is found in one scan of each file."""
     paths = (run.events_csv, run.transactions_csv, run.products_csv)
-    events, orders, products = (files.read_csv_text(spark, path) for path in paths)
-    number = T.LongType()
-    text_ids = ["product_id"] if files.holds_other_than([products, events], "product_id", number) else []
-    text_ids += ["transaction_id"] if files.holds_other_than([orders], "transaction_id", number) else []
     kinds = (schemas.RAW_EVENTS, schemas.RAW_TRANSACTIONS, schemas.RAW_PRODUCTS)
-    return tuple(files.read_csv(spark, path, schemas.with_text(kind, *text_ids)) for path, kind in zip(paths, kinds, strict=True))
+    others = []
+    for path, kind in zip(paths, kinds, strict=True):
+        numbers = {f.name: f.dataType for f in kind.fields if f.dataType != T.StringType()}
+        others.append(files.misfits(files.read_csv_text(spark, path), numbers))
+    text_ids = [c for c in ("product_id", "transaction_id") if any(counts.get(c) for counts in others)]
+    tables = [files.read_csv(spark, path, schemas.with_text(kind, *text_ids)) for path, kind in zip(paths, kinds, strict=True)]
+    return tables, [sum(counts.get(c, 0) for c in ("gross_revenue", "base_price")) for counts in others]
 
 
 def preprocessing_stage(spark: SparkSession, run: Run) -> None:
-    events, orders, products = read_raw(spark, run)
+    (events, orders, products), lost_amounts = read_raw(spark, run)
     run.store(clean.clean_events(events), "cleaned/events_clean")
     run.store(clean.clean_orders(orders), "cleaned/orders_clean")
     run.store_small(clean.clean_catalog(products), "cleaned/catalog_clean")
-    run.store_small(clean.rejects(events, orders, products), "cleaned/rejects")
+    run.store_small(clean.rejects(events, orders, products, lost_amounts), "cleaned/rejects")
 
 
 def sessionization_stage(spark: SparkSession, run: Run) -> None:
@@ -175,7 +178,7 @@ ALL_STAGES: dict[str, Callable[[SparkSession, Run], None]] = {
 
 
 def scale_up_csv(
-    spark: SparkSession, source_csv: str, target_csv: str, copies: int, files_per_table: int | None = 4
+    spark: SparkSession, source_csv: str, target_csv: str, copies: int, files_per_table: int | None = None
 ) -> None:
     """Copy a raw CSV file ``copies`` times under new customer ids."""
     files.write_csv(scale_up(files.read_csv_text(spark, source_csv), copies), target_csv, files_per_table)

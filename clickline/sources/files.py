@@ -29,10 +29,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def holds_other_than(texts: list[DataFrame], column: str, kind: T.DataType) -> bool:
-    """Whether ``column`` holds, in any of some tables of text, a value that does not fit a type. Runs a job on each."""
-    other = F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
-    return any(not text.where(other).isEmpty() for text in texts)
+def misfits(text: DataFrame, kinds: dict[str, T.DataType]) -> dict[str, int]:
+    """How many values of each column of a table of text do not fit the type wanted. One job over the table."""
+    counts = [
+        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()).alias(c) for c, kind in kinds.items()
+    ]
+    return text.agg(*counts).first().asDict()
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -21,15 +21,16 @@ def session_rollup(
     watermark, ``lateness`` behind the newest event, has passed its end; later events for it
     are dropped. Events without a time belong to no session here.
 
-    Spark can merge a user's events into sessions before the shuffle: set
-    ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` for batches with busy users.
+    Events are first counted per user and second, on the map side too, so what is brought together by user, and on a
+    stream what its sessions are kept from, is a row per second, however many events a busy user has.
     """
     timed = events.withColumn("timestamp", F.date_trunc("second", "timestamp"))
     if events.isStreaming:
         timed = timed.withWatermark("timestamp", lateness)
+    seconds = timed.where(F.col("timestamp").isNotNull()).groupBy("user_id", "timestamp").agg(F.count(F.lit(1)).alias("_events"))
     window = F.session_window("timestamp", f"{gap_seconds} seconds")
     return (
-        timed.groupBy("user_id", window)
-        .agg(F.count(F.lit(1)).alias("events"), F.max("timestamp").alias("session_end"))
+        seconds.groupBy("user_id", window)
+        .agg(F.sum("_events").alias("events"), F.max("timestamp").alias("session_end"))
         .select("user_id", F.col("session_window.start").alias("session_start"), "session_end", "events")
     )

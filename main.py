@@ -35,7 +35,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     scale.add_argument("source_csv")
     scale.add_argument("target_csv")
     scale.add_argument("--copies", type=int, default=10)
-    scale.add_argument("--files", type=int, default=4)
+    scale.add_argument("--files", type=int, help="write this many files; by default as many as the size asks for")
 
     show = commands.add_parser("show", help="print schema, row count and first rows of a stage table")
     show.add_argument("out_dir")

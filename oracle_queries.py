@@ -192,7 +192,7 @@ SELECT *, 'ALERT: [Category: ' || coalesce(category, 'unknown') || '] conversion
        || printf('%.4f', trailing_7d_avg) AS explanation
 FROM anom"""
 
-ZSCORE = FUNNEL + """,
+SCORES = """
 stats AS (
   SELECT *, count(overall_conversion_rate) OVER w AS days, avg(overall_conversion_rate) OVER w AS mean,
          CAST(sum(CAST(round(overall_conversion_rate * 10000) AS BIGINT)) OVER w AS BIGINT) AS units,
@@ -214,6 +214,8 @@ scored AS (
 ),
 zanom AS (SELECT * FROM scored WHERE anomaly_flag <> 'NORMAL')"""
 
+ZSCORE = FUNNEL + "," + SCORES
+
 TOP_ANOMALIES = ZSCORE + """,
 top AS (
   SELECT * FROM zanom
@@ -345,6 +347,10 @@ def build(category: str, user_id: str, start: str, end: str, copies: int, top: i
         "q_anomaly_overlay": f"""WITH {FUNNEL}, {ANOMALY_ONLY}, {line}
             SELECT a.*, {rolled.replace('category, date, ', '')}
             FROM anom a JOIN rolling r ON a.date = r.date WHERE a.category = '{category}'""",
+        "q_anomaly_overlay_range": f"""WITH {FUNNEL}, {ANOMALY_ONLY}, {line}
+            SELECT a.*, {rolled.replace('category, date, ', '')}
+            FROM anom a JOIN rolling r ON a.date = r.date
+            WHERE a.category = '{category}' AND a.date BETWEEN DATE '{start}' AND DATE '{end}'""",
         "q_anomaly_metrics": f"WITH {ZSCORE} SELECT * FROM scored",
         "q_anomaly_zscore": f"WITH {ZSCORE} SELECT * FROM zanom",
         "q_anomaly_funnel_by_category": f"""WITH {ZSCORE}
@@ -375,6 +381,14 @@ def build(category: str, user_id: str, start: str, end: str, copies: int, top: i
             SELECT customer_id || '_' || CAST(copy AS VARCHAR) AS customer_id, "timestamp", event_type,
                    product_id, device_type, traffic_source
             FROM raw_ev, generate_series(1, {copies}) AS g(copy)""",
+        "q_scale_up_orders": f"""WITH {CLEAN_ORDERS}
+            SELECT transaction_id, customer_id || '_' || CAST(copy AS VARCHAR) AS customer_id, "timestamp", gross_revenue
+            FROM raw_ord, generate_series(1, {copies}) AS g(copy)""",
+        "q_session_rollup": f"""WITH {EVENTS}, {SESSIONS}
+            SELECT user_id, date_trunc('second', min("timestamp")) AS session_start,
+                   date_trunc('second', max("timestamp")) AS session_end, count(*) AS events
+            FROM ses GROUP BY user_id, session_id""",
+        "q_end_to_end_zscore": f"WITH {RAW_FUNNEL}, {SCORES} SELECT * FROM scored",
         "q_end_to_end": f"WITH {RAW_FUNNEL}, {ANOMALY_ONLY} {EXPLAINED}",
         "q_end_to_end_attribution": f"""WITH {CLEAN_EVENTS}, {SESSIONS}, {CLEAN_ORDERS},
             touch AS (SELECT user_id, "timestamp" AS event_time, referrer AS marketing_channel, session_id

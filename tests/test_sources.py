@@ -162,7 +162,7 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path):
 
 def test_scaled_input_scales_the_sessions(spark, sf_dir, tmp_path):
     files.write_csv(testtables.raw_events(spark, sf_dir), str(tmp_path / "one"))
-    main(["scale-up", str(tmp_path / "one"), str(tmp_path / "ten"), "--copies", "10"], spark)
+    main(["scale-up", str(tmp_path / "one"), str(tmp_path / "ten"), "--copies", "10", "--files", "4"], spark)
     assert len(parts(tmp_path / "ten")) == 4
 
     def sessions(path):
@@ -209,4 +209,23 @@ def test_text_ids_and_both_time_forms_pass_through_a_run(spark, tmp_path):
     assert rows(load("cleaned/catalog_clean"), "product_id", "category") == [("7", "books"), ("P12", "toys")]
     assert rows(load("output/attributed_orders"), "order_id", "marketing_channel") == [("2", "email"), ("3", "email"), ("T1", "email")]
     assert {"toys", "books"} <= {r.category for r in load("output/funnel_metrics").collect()}
-    assert rows(load("cleaned/rejects")) == [("events", 4, 1, 1), ("orders", 5, 2, 2), ("products", 2, 0, 0)]
+    assert rows(load("cleaned/rejects")) == [("events", 4, 1, 1, 0), ("orders", 5, 2, 2, 0), ("products", 2, 0, 0, 0)]
+
+
+def test_amounts_that_are_no_numbers_are_counted(spark, tmp_path):
+    """In one job over each raw file, whatever the number of columns to tell the type of."""
+    texts = {
+        "e": "customer_id,timestamp,event_type,product_id,device_type,traffic_source\n1,05-01-2024 10:00,view,7,m,x\n",
+        "t": "transaction_id,customer_id,timestamp,gross_revenue\n1,1,2024-01-05 10:00:00,12.5\n2,1,2024-01-05 11:00:00,\"1,000\"\n"
+        "3,1,2024-01-05 12:00:00,\n",
+        "p": "product_id,category,brand,base_price\n7,toys,b,free\n8,toys,b,1e3\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    run = end_to_end.Run(*[str(tmp_path / f"{name}.csv") for name in "etp"], str(tmp_path / "out"))
+    tables, lost = end_to_end.read_raw(spark, run)
+    assert lost == [0, 1, 1] and [t.count() for t in tables] == [1, 3, 2]
+    end_to_end.preprocessing_stage(spark, run)
+    got = rows(spark.read.parquet(f"{run.out_dir}/cleaned/rejects"), "source", "unparsed_amounts")
+    assert got == [("events", 0), ("orders", 1), ("products", 1)]
+    assert rows(spark.read.parquet(f"{run.out_dir}/cleaned/orders_clean"), "order_id", "total_amount") == [(1, 12.5), (2, None), (3, None)]

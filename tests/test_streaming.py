@@ -34,3 +34,15 @@ def test_stream_and_batch_agree(spark, sf_dir, tmp_path):
     assert batch.count() > 900
     assert batch.exceptAll(streamed).count() == 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_a_busy_user_is_a_row_per_second_before_the_shuffle(spark):
+    busy = spark.range(0, 40000, 1, 4).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("id"), F.lit(90)) * 40).alias("timestamp"),
+    )
+    got = session_rollup(busy, gap_seconds=100)
+    hot = got.where("user_id = 'hot'").collect()
+    assert [(r["events"], (r["session_end"] - r["session_start"]).seconds) for r in hot] == [(26666, 3520)]
+    assert got.count() == 1 + 13334
+    assert got.selectExpr("sum(events) e").first()["e"] == 40000
