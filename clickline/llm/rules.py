@@ -18,6 +18,8 @@ SYMBOLS = "#*$%&|<>"
 PIECE_PATTERN = r"[\p{L}\p{N}]++|[^\s\p{L}\p{N}]++"
 #: Buckets of either multinomial; the ratio table holds so many doubles and no more.
 N_BUCKETS = 10_000
+#: Longs of the filter that keeps other documents from the join with the trusted ids: 1 MiB.
+FILTER_WORDS = 2**17
 #: Added to every bucket's count.
 SMOOTHING = 1.0
 #: Documents whose mean log ratio per n-gram is below this are rejected.
@@ -92,20 +94,48 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return known.where("q = 1").select("doc_id")
 
 
+def _counted(docs: DataFrame, name: str) -> DataFrame:
+    """(bucket, count): how often the n-grams of ``docs`` fall into each bucket."""
+    return docs.select(F.explode(_buckets(F.col("text"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(name))
+
+
+def _mark(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id.cast("string")), F.lit(64 * FILTER_WORDS))
+
+
+def id_filter(ids: DataFrame) -> DataFrame:
+    """One row with ``marks``, a bit per hash of an id in longs of fixed number."""
+    mark = _mark(F.col("doc_id"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(mark, F.lit(64)).cast("int"))
+    words = ids.select(F.floor(mark / 64).cast("int").alias("word"), bit.alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = ids.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("word"))
+    filled = every.join(words, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
+    listed = F.sort_array(F.collect_list(F.struct("word", "bits")))
+    return filled.agg(listed.alias("listed")).select(F.transform("listed", lambda x: x["bits"]).alias("marks"))
+
+
+def _may_hold(marks: Column, doc_id: Column) -> Column:
+    mark = _mark(doc_id)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(mark, F.lit(64)).cast("int"))
+    return F.get(marks, F.floor(mark / 64).cast("int")).bitwiseAND(bit) != 0
+
+
 def ratio_table(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row with ``ratios``: log p(trusted) - log p(corpus) per bucket, for all buckets in order.
 
     The corpus counts cover every n-gram of every document, the others every one of the documents in ``trusted`` (ids).
     """
-    # No hint: Spark broadcasts the ids below its threshold and shuffles more of them.
-    ids = trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))
-    grams = (
-        docs.select("doc_id", "text")
-        .join(ids, F.col("doc_id") == F.col("_id"), "left")
-        .select("_trusted", F.explode(_buckets(F.col("text"))).alias("bucket"))
-    )
-    counts = grams.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.coalesce(F.sum("_trusted"), F.lit(0)).alias("t")
+    # The corpus is counted where it is read. Only texts that a filter of fixed size lets through meet the trusted ids, which
+    # settle who is trusted; so the plan is the same at every size.
+    marks = stored(id_filter(trusted), "trusted")
+    ids = trusted.select(F.col("doc_id").alias("_id"))
+    marked = docs.select("doc_id", "text").where(_may_hold(marks.select("marks").scalar(), F.col("doc_id")))
+    meets = F.col("doc_id").cast("string") == F.col("_id").cast("string")
+    counts = (
+        _counted(docs, "n")
+        .join(_counted(marked.join(ids.hint("merge"), meets, "left_semi"), "t"), "bucket", "left")
+        .select("bucket", "n", F.coalesce("t", F.lit(0)).alias("t"))
     )
     every = docs.sparkSession.range(N_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     table = every.join(counts, "bucket", "left").select(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
@@ -230,3 +232,21 @@ def test_every_trusted_document_counts(spark):
     labels = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     bad = spark.createDataFrame([(7, 0), (None, 1)], "doc_id long, quality int")
     assert rules.trusted_ids(labels.unionByName(bad)).count() == 20_499
+
+
+def test_trusted_documents_are_counted_apart_whatever_the_filter_lets_through(spark, make_docs, monkeypatch):
+    """Counts by hand, with a filter so small that it lets most documents through, and repeated ids."""
+    rows = [(i % 40, f"alpha beta{i % 3} gamma {i}") for i in range(60)] + [(None, "alpha"), (99, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(3, 0), (None, 1)], "doc_id long, quality int")
+    trusted = {i for i in range(30) if i % 2} - {3}
+    buckets = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string").select(
+        F.explode(rules._buckets(F.col("text"))).alias("b")
+    )
+    whole, part = buckets([t for _, t in rows]).collect(), buckets([t for i, t in rows if i in trusted]).collect()
+    n, t = Counter(r["b"] for r in whole), Counter(r["b"] for r in part)
+    share = lambda count, total: (count + rules.SMOOTHING) / (total + rules.SMOOTHING * rules.N_BUCKETS)
+    for words in (1, 2**17):
+        monkeypatch.setattr(rules, "FILTER_WORDS", words)
+        ratios = rules.ratio_table(make_docs(rows), rules.trusted_ids(labels)).first()["ratios"]
+        want = [math.log(share(t[b], len(part))) - math.log(share(n[b], len(whole))) for b in range(rules.N_BUCKETS)]
+        assert max(abs(a - b) for a, b in zip(ratios, want, strict=True)) < 1e-12
