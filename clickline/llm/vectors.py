@@ -25,9 +25,12 @@ SIMILARITY = 0.95
 FIT_ROWS = 20_000
 MAX_LISTS = 4_096
 SUBSPACES, CODES, ROUNDS, SEED = 8, 256, 8, 11
-#: A list is probed if a vector within this share of the link distance could lie in it. 1 finds every link, whatever its
-#: direction; a neighbour's step towards one given centre is seldom more than a few tenths of its length.
-REACH = 0.35
+#: A list is probed if a vector within ``reach`` times the link distance could lie in it. 1 finds every link, whatever its
+#: direction. Among d directions a step goes about 1 / sqrt(d) of its length towards a given centre, so the reach is this
+#: many times that, and 1 where the vectors have few directions.
+DEVIATIONS = 2.8
+#: Places in the sample, and their nearest sample vectors, that the number of directions is measured on.
+PLACES, NEAREST = 64, 256
 MEMBERS_PER_BLOCK, PROBES_PER_BLOCK = 512, 2_048
 
 
@@ -92,8 +95,24 @@ class Index:
         return np.sqrt(total)
 
 
-def fit(sample: np.ndarray, n_vectors: int, similarity: float = SIMILARITY, reach: float = REACH) -> Index:
-    """An index for ``n_vectors``, about as many lists as the root of their number, from a sample of unit vectors."""
+def directions(sample: np.ndarray) -> float:
+    """In how many directions the vectors near one another differ: the participation ratio of the variances around
+    places of the sample, of which nine in ten have more."""
+    random = np.random.default_rng(SEED)
+    found = []
+    for at in random.permutation(len(sample))[:PLACES]:
+        near = sample[np.argsort(_squared(sample[at : at + 1], sample)[0], kind="stable")[:NEAREST]]
+        variances = np.linalg.svd(near - near.mean(0), compute_uv=False) ** 2
+        squares = float((variances**2).sum())
+        found.append(float(variances.sum()) ** 2 / squares if squares > 0 else 1.0)
+    return float(np.quantile(found, 0.1)) if found else 1.0
+
+
+def fit(sample: np.ndarray, n_vectors: int, similarity: float = SIMILARITY, reach: float | None = None) -> Index:
+    """An index for ``n_vectors``, about as many lists as the root of their number, from a sample of unit vectors. Without
+    ``reach`` the sample's number of directions sets it."""
+    if reach is None:
+        reach = min(1.0, DEVIATIONS / math.sqrt(directions(sample)))
     random = np.random.default_rng(SEED)
     dims = sample.shape[1]
     subspaces = min(SUBSPACES, dims)
@@ -202,7 +221,7 @@ def index_vectors(vectors: DataFrame, index: Index) -> DataFrame:
 
 
 def near_duplicates(
-    embeddings: DataFrame, similarity: float = SIMILARITY, reach: float = REACH, fit_rows: int = FIT_ROWS
+    embeddings: DataFrame, similarity: float = SIMILARITY, reach: float | None = None, fit_rows: int = FIT_ROWS
 ) -> DataFrame:
     """One row per row of ``embeddings`` (vec_id, embedding): ``vec_id``, ``n_links`` (other rows with a cosine of at
     least ``similarity``, in double precision), ``component_id`` (smallest vec_id reachable by links, itself
@@ -211,7 +230,8 @@ def near_duplicates(
     Null, empty and zero vectors and those with null or non-finite components link with nothing; neither do vectors of
     different lengths. Equal vectors link and are searched once. Rows that repeat a vec_id share a component. Rows
     without vec_id cannot be named: n_links 0, no component, kept. Other columns are ignored. An empty table gives an
-    empty result. No pair below ``similarity`` is linked; ``reach`` sets how surely links across lists are found.
+    empty result. No pair below ``similarity`` is linked; ``reach`` sets how surely links across lists are found;
+    by default it follows from the number of directions in the fitted sample.
     """
     vector = F.transform("embedding", lambda x: x.cast("double"))
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector"))
