@@ -79,6 +79,7 @@ class RuleIndex:
             numbers[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)
         )
         self.path_lengths = [int(x) for x in lengths]
+        self.longest_host = int(self.hosts.max()) if n else 0
         self.strings = np.memmap(path, "u1", "r", offset=int(ends[-1]) * 8) if self.offsets[-1] else b""
 
     def string(self, i: int) -> bytes:
@@ -91,7 +92,10 @@ class RuleIndex:
             if not host:
                 continue
             starts = [path[:length].encode() for length in self.path_lengths if length <= len(path)]
+            # Endings longer than every rule's host fit none, so a long host costs no more than a long rule.
             at = 0
+            if len(host) > self.longest_host:
+                at = host.find(".", len(host) - self.longest_host - 1) + 1 or -1
             while at >= 0:
                 ending = host[at:].encode()
                 for start in starts:
@@ -121,10 +125,11 @@ class RuleIndex:
 
 
 def _rules_frame(spark: SparkSession, rules: DataFrame | list[tuple[str, str, str]]) -> DataFrame:
-    """Rules without nulls and repeats; a host and path ruled both ways is blocked."""
+    """Rules without nulls and repeats; a host and path ruled both ways is blocked. A verdict other than "block" allows."""
     df = rules if isinstance(rules, DataFrame) else spark.createDataFrame(rules, RULES_SCHEMA)
     whole = df.where("host is not null and path is not null and verdict is not null")
-    return whole.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    blocks = F.max(F.col("verdict") == "block")
+    return whole.groupBy("host", "path").agg(F.when(blocks, "block").otherwise("allow").alias("verdict"))
 
 
 def judge_urls(
@@ -138,7 +143,8 @@ def judge_urls(
 
     ``rules`` holds (host, path start, "allow" or "block"). The longest fitting rule decides; without one,
     ``rule`` is null and the verdict "allow". Null URLs and those without "://" have an empty host and path, which no
-    rule fits. Repeated rows are judged alike; repeated rules count once, and a rule given both ways blocks. An
+    rule fits. Repeated rows are judged alike; repeated rules count once, a rule given both ways blocks, and one with another
+    verdict than "block" allows. An
     empty table of pages or of rules gives that many or only "allow" rows. Input columns are kept inside ``page``.
 
     The rule list's size is measured first. Up to ``max_index_bytes`` it becomes one index file, which Spark
@@ -173,11 +179,15 @@ def _judge_by_join(packed: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("path").alias("_rule_path"),
         F.col("verdict").alias("_rule_verdict"),
     )
-    labels = F.split("host", r"\.")
-    endings = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
-    starts = F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    longest = rules.agg(F.max(F.length("host")), F.max(F.length("path"))).first()
+    host_length, path_length = (F.lit(n or 0) for n in longest)
+    # Endings and starts longer than every rule's fit none: of a longer host, what follows the first dot of its tail.
+    tail = F.split(F.substring(F.col("host"), -(host_length + 1), host_length + 1), r"\.")
+    labels = F.when(F.length("host") > host_length, F.slice(tail, F.lit(2), F.size(tail))).otherwise(F.split("host", r"\."))
+    places = F.when(F.size(labels) > 0, F.sequence(F.lit(1), F.size(labels))).otherwise(F.array().cast("array<int>"))
+    endings = F.transform(places, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    lengths = F.sequence(F.lit(0), F.least(F.length("path"), path_length))
+    starts = F.transform(lengths, lambda n: F.substring(F.col("path"), F.lit(1), n))
     distinct = packed.select("host", "path").where("host != ''").distinct()
     probes = distinct.select("host", "path", F.explode(endings).alias("_ending")).select(
         "host", "path", "_ending", F.explode(starts).alias("_start")
