@@ -12,13 +12,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickline.llm.shared import WORD_PATTERN, text_key
+
 #: Words of a passage.
 PASSAGE_WORDS = 50
 #: Labelled documents the model is fitted on, at most (smallest md5 of the id first).
 TRAIN_DOCS = 4_000
+#: Passages of these documents together, at most; a document with more than a tenth of it is not learned from.
+TRAIN_PASSAGES = 200_000
 #: Text that is turned into features at once.
 BLOCK_BYTES = 2 * 2**20
 #: From this score on a document is predicted to be good.
@@ -202,26 +206,45 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
-    """A model fitted on at most ``limit`` labelled documents that are not held out.
+def training_texts(
+    docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, passages: int = TRAIN_PASSAGES
+) -> DataFrame:
+    """``_id``, ``_label`` and ``text`` of the sample to learn from: labelled rows that are not held out, one for each
+    id and text, in the order of the id's md5, at most ``limit`` of them with ``passages`` passages together.
 
-    Rows that label a document both ways count as label 0, null labels not at all. Passages are encoded on the
-    executors; the features of the bounded sample come to the driver, whole documents of any length.
+    Repeated rows count once, map-side, however many they are. Choosing moves ids and sizes only; texts are shuffled for
+    the chosen rows alone.
     """
     known = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("_label"))
-    sample = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit).withColumnRenamed("doc_id", "_id")
+    known = known.groupBy("doc_id").agg(F.min("quality").cast("long").alias("_label"))
+    order = [F.md5(F.col("_id").cast("string")), F.col("_id")]
+    known = known.withColumnRenamed("doc_id", "_id").orderBy(*order).limit(limit)
+    keyed = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    keyed = keyed.select("_id", "_label", "text", text_key(F.col("text")).alias("_key"))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_PATTERN))
+    n = F.greatest(F.lit(1), F.ceil(words / PASSAGE_WORDS)).cast("long")
+    sizes = keyed.groupBy("_id", "_key").agg(F.max(n).alias("_n")).where(F.col("_n") * 10 <= passages)
+    # At most ``limit`` rows, so one window over them is small.
+    upto = F.sum("_n").over(Window.orderBy(*order, "_key").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = sizes.orderBy(*order, "_key").limit(limit).withColumn("_upto", upto).where(F.col("_upto") <= passages)
+    texts = keyed.join(F.broadcast(chosen.select("_id", "_key")), ["_id", "_key"])
+    return texts.dropDuplicates(["_id", "_key"]).select("_id", "_label", "text")
+
+
+def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, passages_limit: int = TRAIN_PASSAGES) -> Model:
+    """A model fitted on ``training_texts``, at most ``limit`` of them with ``passages_limit`` passages together.
+
+    Rows that label a document both ways count as label 0, null labels not at all. Passages are encoded on the
+    executors; the features of the bounded sample come to the driver, of whole documents.
+    """
 
     def run(batches):
         for batch in batches:
-            for i, text, label in zip(batch["doc_id"], batch["text"], batch["_label"], strict=True):
+            for i, text, label in zip(batch["_id"], batch["text"], batch["_label"], strict=True):
                 x, _ = passages([text])
                 yield pd.DataFrame({"id": [str(i)], "label": [label], "n": [len(x)], "x": [x.tobytes()]})
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-    got = texts.select("doc_id", "text", F.col("_label").cast("long").alias("_label")).mapInPandas(
-        run, "id string, label long, n long, x binary"
-    )
+    got = training_texts(docs, labels, limit, passages_limit).mapInPandas(run, "id string, label long, n long, x binary")
     rows = sorted(got.collect(), key=lambda r: (r["id"], r["label"], r["x"]))
     x = np.frombuffer(b"".join(r["x"] for r in rows), "f4").reshape(-1, N_FEATURES)
     return fit(x, np.array([r["n"] for r in rows], "i8"), np.array([r["label"] for r in rows]))
