@@ -12,6 +12,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -107,7 +108,14 @@ def scan(text: str | None, searches: list[NoticeSearch], phrases: dict[str, str]
     """One row of ``SCHEMA``."""
     words = normal(text)
     line = b" " + b" ".join(words) + b" "
-    word_at = lambda byte: line.count(b" ", 0, byte + 1) - 1
+    spaces: list[int] = []
+
+    def word_at(byte: int) -> int:
+        """The word that the space at or before ``byte`` opens; the spaces are found once a text, if at all."""
+        if not spaces:
+            spaces.extend(np.flatnonzero(np.frombuffer(line, "u1") == 32).tolist())
+        return bisect.bisect_right(spaces, byte) - 1
+
     starts, base = [], set()
     for phrase, label in phrases.items():
         for at in _places(line, f" {phrase} ".encode()):
