@@ -172,15 +172,28 @@ def _filled(taken: DataFrame, slices: Column) -> DataFrame:
 def mixed_documents(docs: DataFrame, weight_cycle: int = 3) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as its passes say, none with no pass.
 
-    Rows with the same id, source and text are told apart by a number, so each goes as often as one place in
-    the queue; which of them gets which place does not matter, as they hold the same text.
+    Rows with the same id, source and text hold the same words, so which of them gets which place in the queue does
+    not matter: what the mix takes of them is dealt evenly over them, in the order of their other columns. Texts are
+    shuffled once, to the thin table of what is taken. Only rows that share id, source and text are looked at again;
+    those equal in all columns are counted map-side first, however many they are.
     """
     same = ["doc_id", "source", "text_key"]
-    number = F.row_number().over(Window.partitionBy(*same).orderBy("passes"))
-    chosen = mix(docs, weight_cycle).withColumn("number", number).where("passes > 0")
-    chosen = chosen.select(*[F.col(c).alias(f"_{c}") for c in same], F.col("number").alias("_number"), "passes")
+    # A struct compares null fields as equal, and the rows stay partitioned by it.
+    taken = mix(docs, weight_cycle).groupBy(F.struct(*same).alias("_key"))
+    taken = taken.agg(F.count("*").alias("_rows"), F.sum("passes").alias("_times")).where("_times > 0")
+    taken = stored(taken, "taken-keys")
     packed = docs.select(F.struct("*").alias("doc"), "doc_id", "source", text_key(F.col("text")).alias("text_key"))
-    packed = packed.withColumn("number", F.row_number().over(Window.partitionBy(*same).orderBy(F.col("doc.doc_id"))))
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same] + [F.col("number") == F.col("_number")]
-    joined = packed.join(chosen, on)
-    return joined.select("doc", F.explode(F.sequence(F.lit(1), "passes"))).select("doc.*")
+    # One plan at every size: the thin table grows with the documents, so it is never broadcast.
+    found = packed.select("doc", F.struct(*same).alias("_key")).join(taken.hint("merge"), "_key")
+    lone = found.where("_rows = 1").select("doc", "_times")
+    repeated = found.where("_rows > 1").groupBy("_key", "doc", "_rows", "_times").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_key").orderBy("doc").rowsBetween(Window.unboundedPreceding, 0))
+
+    def dealt(places: Column) -> Column:
+        """What the first ``places`` of a key's rows get together."""
+        return F.call_function("div", F.col("_times") * places, F.col("_rows"))
+
+    repeated = repeated.withColumn("_upto", upto)
+    repeated = repeated.select("doc", (dealt(F.col("_upto")) - dealt(F.col("_upto") - F.col("_n"))).alias("_times"))
+    rows = lone.unionByName(repeated).where("_times > 0")
+    return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select("doc.*")
