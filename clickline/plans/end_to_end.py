@@ -92,6 +92,14 @@ class Run:
         key = None if self.files_per_table is None else "user_id"
         files.write_table(df, f"{self.out_dir}/{table}", key, self.files_per_table)
 
+    def store_by_user(self, df: DataFrame, table: str) -> None:
+        """A per-user table that one user's rows are looked up in; in ``df`` each user's rows stand together."""
+        path = f"{self.out_dir}/{table}"
+        if self.files_per_table is None:
+            files.write_grouped_for_lookup(df, path, "user_id")
+        else:
+            files.write_lookup_table(df, path, "user_id", "timestamp", files=self.files_per_table)
+
     def store_small(self, df: DataFrame, table: str) -> None:
         """A catalog or daily table."""
         files.write_small_table(df, f"{self.out_dir}/{table}")
@@ -134,7 +142,7 @@ def preprocessing_stage(spark: SparkSession, run: Run) -> None:
 
 
 def sessionization_stage(spark: SparkSession, run: Run) -> None:
-    run.store(sessionize(run.load(spark, "cleaned/events_clean")), "output/events_with_sessions")
+    run.store_by_user(sessionize(run.load(spark, "cleaned/events_clean")), "output/events_with_sessions")
 
 
 def funnel_stage(spark: SparkSession, run: Run) -> None:

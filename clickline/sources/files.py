@@ -7,7 +7,7 @@ more rows than the rest instead of giving all of them to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,31 @@ def write_table(df: DataFrame, path: str, key: str | None = None, files: int | N
     laid_out.write.mode("overwrite").parquet(path)
 
 
+def write_lookup_table(df: DataFrame, path: str, key: str, *then: str, files: int | None = None) -> None:
+    """Overwrite a Parquet directory that serves lookups of single values of ``key``.
+
+    Rows are sorted by ``key`` and ``then`` over ranges of both, so a dominant key spreads over many files and
+    each value sits in few row groups and pages; Bloom filters tell which of those left hold a value at all. A reader
+    that compares ``key`` with a literal of its stored type skips the rest.
+    """
+    order = [key, *then]
+    ranged = df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
+    _with_lookups(ranged.sortWithinPartitions(*order), key).mode("overwrite").parquet(path)
+
+
+def write_grouped_for_lookup(df: DataFrame, path: str, key: str) -> None:
+    """For rows whose equal ``key`` values already stand together, in whatever order: no shuffle and no sort. Lookups
+    then rely on the Bloom filters and dictionaries of the row groups, not on their bounds."""
+    _with_lookups(df, key).mode("overwrite").parquet(path)
+
+
+def _with_lookups(df: DataFrame, key: str) -> DataFrameWriter:
+    # Adaptive filters take the size that the row group's values need.
+    return df.write.options(
+        **{f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    )
+
+
 def write_small_table(df: DataFrame, path: str) -> None:
     """Overwrite a Parquet directory of a result expected to be small: one file if it is."""
     spread(df).write.mode("overwrite").parquet(path)

@@ -6,6 +6,8 @@ Every view maps whole tables row by row. Times are read in UTC; callers pin
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,9 +56,14 @@ def _catalog_id() -> Column:
     return F.when(F.col("p_partkey") >= 90, F.col("p_partkey") + 10).otherwise(F.col("p_partkey"))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean events: sub-second times, no nulls but in the referrer."""
-    return _table(spark, sf_dir, "events").select(
+def events(spark: SparkSession, sf_dir: str, user_id: str | None = None) -> DataFrame:
+    """Clean events: sub-second times, no nulls but in the referrer. With ``user_id`` only that user's, picked by the
+    number that is stored, which the scan can compare; a text that is no such number is nobody's."""
+    stored = _table(spark, sf_dir, "events")
+    if user_id is not None:
+        number = int(user_id) if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", user_id) else None
+        stored = stored.where(F.lit(False) if number is None else F.col("user_id") == F.lit(number).cast("bigint"))
+    return stored.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         _event_type().alias("event_type"),

@@ -3,6 +3,7 @@
     spark-submit main.py run EVENTS.csv TRANSACTIONS.csv PRODUCTS.csv OUT_DIR [--stage NAME ...]
     spark-submit main.py scale-up SOURCE.csv TARGET_DIR --copies 10
     spark-submit main.py show OUT_DIR TABLE [--rows 50]
+    spark-submit main.py timeline OUT_DIR USER_ID [--rows 50]
 
 A failing stage raises and ends the run with a non-zero exit status.
 """
@@ -17,8 +18,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from clickline.operators import report  # noqa: E402
 from clickline.plans import end_to_end  # noqa: E402
-from clickline.sources import files  # noqa: E402
+from clickline.sources import files, schemas  # noqa: E402
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -41,6 +43,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     show.add_argument("out_dir")
     show.add_argument("table")
     show.add_argument("--rows", type=int, default=50)
+
+    timeline = commands.add_parser("timeline", help="print one user's events with sessions, in time order")
+    timeline.add_argument("out_dir")
+    timeline.add_argument("user_id")
+    timeline.add_argument("--rows", type=int, default=50)
     return parser.parse_args(argv)
 
 
@@ -57,6 +64,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             print(f"{name}: done")
     elif args.command == "scale-up":
         end_to_end.scale_up_csv(spark, args.source_csv, args.target_csv, args.copies, args.files)
+    elif args.command == "timeline":
+        sessions = files.read_table(spark, f"{args.out_dir}/output/events_with_sessions", schemas.EVENTS_WITH_SESSIONS)
+        report.user_timeline(sessions, args.user_id).show(args.rows, truncate=False)
     else:
         table = files.read_table(spark, f"{args.out_dir}/{args.table}")
         table.printSchema()
