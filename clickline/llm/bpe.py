@@ -17,46 +17,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from clickline.llm.pieces import Remembered, for_worker, pattern
+from clickline.llm.pieces import Remembered, by_blocks, byte_offsets, for_worker
 
 #: Rows that one recursive query may hold; it stops after the steps that fit and goes on in another.
 MAX_STATE_ROWS = 4_000_000
-#: Characters of the words that are merged together.
-BLOCK_CHARS = 200_000
+#: Bytes of the words that are merged together, and the sum of their squares: each step of a word keeps a list.
+BLOCK_BYTES, BLOCK_SQUARES = 300_000, 8_000_000
+#: Stands for the rank of a pair that does not merge.
+NEVER = 2**31 - 1
 
 #: Words with more bytes than this merge at all places of a pair in one step.
 LONG_WORD = 256
 
-# A row holds a token, the one after it, and the rank at which the two merge. One step contracts the leftmost pair of
-# lowest rank of each word; what stands right of it moves up by one, and only the two pairs that the new token is in meet the
-# merge table again.
+# A row holds a word: its tokens, and beside each the rank at which it merges with the next one (NEVER: not at all). One
+# step contracts the leftmost pair of lowest rank of each word, and only the two pairs that the new token is in meet
+# the merge table again. What is left of a pair at 1 is nothing, and a slice [:-1] would not be.
 _LEFTMOST = """
-WITH RECURSIVE state(w, p, t, u, k, live) AS (
-    SELECT w, p, n.t, u, m.t, true
-    FROM (SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS u FROM tokens) n
-    LEFT JOIN merges m ON m.l = n.t AND m.r = n.u
+WITH RECURSIVE state(w, t, k, least) AS (
+    SELECT w, t, k, coalesce(list_min(k), $never) FROM words
     UNION ALL (
-        WITH lowest AS (
-            SELECT w, min(k * 4294967296 + p) AS k FROM state WHERE live GROUP BY w
-        ), places AS (
-            SELECT l.w, l.k >> 32 AS t, l.k & 4294967295 AS p, s.u
-            FROM lowest l JOIN state s ON s.w = l.w AND s.p = (l.k & 4294967295) + 1 WHERE s.live
-        ), moved AS (
-            SELECT s.w,
-                CASE WHEN s.p > c.p THEN s.p - 1 ELSE s.p END AS p,
-                CASE WHEN s.p = c.p THEN c.t ELSE s.t END AS t,
-                CASE WHEN s.p = c.p THEN c.u WHEN s.p = c.p - 1 THEN c.t ELSE s.u END AS u,
-                s.k, c.w IS NOT NULL AS live, coalesce(s.p BETWEEN c.p - 1 AND c.p, false) AS changed
-            FROM state s LEFT JOIN places c ON s.w = c.w
-            WHERE s.live AND (c.w IS NULL OR s.p <> c.p + 1)
+        WITH places AS (
+            SELECT *, list_position(k, least) AS p FROM state WHERE least < $never
+        ), pairs AS (
+            SELECT *, t[p - 1] AS before, t[p + 2] AS after FROM places
+        ), merged AS (
+            SELECT s.w, s.t[:p - 1] || [least] || s.t[p + 2:] AS t,
+                CASE WHEN p > 1 THEN k[:p - 2] || [coalesce(a.t, $never), coalesce(b.t, $never)]
+                ELSE [coalesce(b.t, $never)] END || k[p + 2:] AS k
+            FROM pairs s
+            LEFT JOIN merges a ON a.l = s.before AND a.r = s.least
+            LEFT JOIN merges b ON b.l = s.least AND b.r = s.after
         )
-        SELECT w, p, t, u, k, live FROM moved WHERE NOT changed
-        UNION ALL
-        SELECT n.w, n.p, n.t, n.u, m.t, n.live
-        FROM (SELECT * FROM moved WHERE changed) n LEFT JOIN merges m ON m.l = n.t AND m.r = n.u
+        SELECT w, t, k, list_min(k) FROM merged
     )
 )
-SELECT w, t FROM state WHERE NOT live ORDER BY w, p
+SELECT w, t FROM state WHERE least = $never ORDER BY w
 """
 
 # For long words, where one place a step would take the square of the length: a step contracts the lowest rank at
@@ -124,7 +119,12 @@ class Merger:
         columns = list(zip(*merges, strict=True)) or [(), (), ()]
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self._table("merges", **{c: pa.array(x, pa.int64()) for c, x in zip("lrt", columns, strict=True)})
+        self._table("merges", **{c: pa.array(x, pa.int32()) for c, x in zip("lrt", columns, strict=True)})
+        # The ranks of pairs of bytes, which every word starts with.
+        self.of_pair = np.full((256, 256), NEVER, "i4")
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.of_pair[token[0], token[1]] = rank
         self._table("vocabulary", t=pa.array(list(ranks.values()), pa.int64()), hex=pa.array([k.hex() for k in ranks]))
 
     def _table(self, name: str, **columns: pa.Array) -> None:
@@ -140,41 +140,42 @@ class Merger:
         short = [i for i, w in enumerate(words) if ids[i] is None and len(w) <= LONG_WORD]
         for places, query in ((short, self._leftmost), (long, self._all_places)):
             if places:
-                w, t = query([words[i] for i in places])
-                coded = t.astype("<i4").tobytes()
-                ends = (4 * np.cumsum(np.bincount(w, minlength=len(places)))).tolist()
+                coded, ends = query([words[i] for i in places])
                 low = 0
                 for i, high in zip(places, ends, strict=True):
                     ids[i] = coded[low:high]
                     low = high
         return ids
 
-    def _tokens(self, w: np.ndarray, p: np.ndarray, t: np.ndarray) -> None:
-        self._table("tokens", w=pa.array(w, pa.int64()), p=pa.array(p, pa.int64()), t=pa.array(t, pa.int64()))
-
-    def _bytes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        lengths = np.array([len(w) for w in words], "i8")
-        w = np.repeat(np.arange(len(words)), lengths)
-        p = np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return w, p, self.of_byte[np.frombuffer(b"".join(words), "u1")]
-
-    def _leftmost(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        self._tokens(*self._bytes(words))
-        got = self.db.execute(_LEFTMOST).fetchnumpy()
-        return np.asarray(got["w"]), np.asarray(got["t"])
-
-    def _all_places(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        w, p, t = self._bytes(words)
+    def _bytes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes, and where each word ends."""
+        return np.frombuffer(b"".join(words), "u1"), np.cumsum([len(w) for w in words])
+
+    def _leftmost(self, words: list[bytes]) -> tuple[bytes, list[int]]:
+        flat, ends = self._bytes(words)
+        ranks = self.of_pair[flat, np.append(flat[1:], 0)]
+        ranks[ends - 1] = NEVER
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        lists = (pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (self.of_byte[flat], ranks))
+        self._table("words", w=pa.array(np.arange(len(words))), **dict(zip("tk", lists, strict=True)))
+        found = self.db.sql(_LEFTMOST, params={"never": NEVER}).to_arrow_table().column("t").combine_chunks()
+        ends = 4 * np.cumsum(found.value_lengths().to_numpy(), dtype="i8")
+        return found.flatten().to_numpy().astype("<i4").tobytes(), ends.tolist()
+
+    def _all_places(self, words: list[bytes]) -> tuple[bytes, list[int]]:
+        flat, ends = self._bytes(words)
+        lengths = np.diff(ends, prepend=0)
+        w, p, t = np.repeat(np.arange(len(words)), lengths), np.arange(len(flat)), self.of_byte[flat]
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(w):
-            self._tokens(w, p, t)
+            self._table("tokens", w=pa.array(w, pa.int64()), p=pa.array(p, pa.int64()), t=pa.array(t, pa.int64()))
             got = self.db.execute(_ALL_PLACES, {"steps": max(1, MAX_STATE_ROWS // len(w))}).fetchnumpy()
             live = np.asarray(got["live"], bool)
             done.append((np.asarray(got["w"])[~live], np.asarray(got["t"])[~live]))
             w, p, t = (np.asarray(got[c])[live] for c in ("w", "p", "t"))
         w, t = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.argsort(w, kind="stable")
-        return w[order], t[order]
+        return t[order].astype("<i4").tobytes(), (4 * np.cumsum(np.bincount(w, minlength=len(words)))).tolist()
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids."""
@@ -194,41 +195,33 @@ class Coder:
     """Whole texts to (ids, decoded bytes); what repeats in a partition is merged once."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.merger, self.words = Merger(ranks), pattern()
-        self.remembered = Remembered(self._encode_new, 2)
+        self.merger = Merger(ranks)
+        self.remembered = Remembered(self._merge_new, 2)
 
-    def _encode_new(self, stretches: list[str]) -> list[tuple[bytes, bytes]]:
-        cut = [self.words.findall(s) for s in stretches]
+    def _merge_new(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        coded = [w.encode() for w in words]
+        lengths = np.array([len(w) for w in coded], "i8")
         # Words of similar length take similarly many steps.
-        distinct = sorted(set().union(*cut), key=len)
-        coded: dict[str, tuple[bytes, bytes]] = {}
-        block: list[str] = []
-        size = 0
-        for i, word in enumerate(distinct):
-            block.append(word)
-            size += len(word)
-            if size >= BLOCK_CHARS or i + 1 == len(distinct):
-                ids = self.merger.merge([x.encode() for x in block])
-                texts = self.merger.decode(ids)
-                coded.update(zip(block, zip(ids, texts, strict=True), strict=True))
-                block, size = [], 0
-        return [
-            coded[parts[0]]
-            if len(parts) == 1
-            else (b"".join([coded[x][0] for x in parts]), b"".join([coded[x][1] for x in parts]))
-            for parts in cut
-        ]
-
-    def code(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
-        """Little-endian 32-bit ids and decoded bytes of each text."""
-        ids, decoded = self.remembered.encode([t or "" for t in texts])
+        order = np.argsort(lengths, kind="stable")
+        filled = np.cumsum(lengths[order]) // BLOCK_BYTES + np.cumsum(lengths[order] ** 2) // BLOCK_SQUARES
+        made: list[tuple[bytes, bytes]] = [(b"", b"")] * len(words)
+        for block in np.split(order, np.flatnonzero(np.diff(filled)) + 1):
+            ids = self.merger.merge([coded[i] for i in block.tolist()])
+            for i, pair in zip(block.tolist(), zip(ids, self.merger.decode(ids), strict=True), strict=True):
+                made[i] = pair
+        return made
+
+    def code(self, texts: pa.Array) -> tuple[pa.LargeBinaryArray, pa.LargeBinaryArray]:
+        """Little-endian 32-bit ids and decoded bytes of each text; null texts have none."""
+        ids, decoded = self.remembered.encode(texts.fill_null(""))
         return ids, decoded
 
 
-def id_lists(coded: list[bytes]) -> pa.ListArray:
+def id_lists(coded: pa.LargeBinaryArray) -> pa.ListArray:
     """Little-endian 32-bit ids of each row as one Arrow list array."""
-    ends = np.cumsum([0] + [len(x) // 4 for x in coded]).astype("i4")
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+    offsets = byte_offsets(coded)
+    values = np.frombuffer(coded.buffers()[2] or b"", "u1")[offsets[0] : offsets[-1]].view("<i4")
+    return pa.ListArray.from_arrays(pa.array(((offsets - offsets[0]) // 4).astype("i4")), pa.array(values))
 
 
 def encode_and_decode(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
@@ -244,12 +237,10 @@ def encode_and_decode(docs: DataFrame, ranks_path: str | None = None) -> DataFra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = for_worker(f"bpe {path}", lambda: Coder(read_ranks(path)))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                ids, decoded = coder.code(part.column(1).to_pylist())
-                columns = [part.column(0), id_lists(ids), pa.array(decoded, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+        for batch in by_blocks(batches):
+            ids, decoded = coder.code(batch.column(1))
+            columns = [batch.column(0), id_lists(ids), decoded.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     schema = T.StructType(
         [

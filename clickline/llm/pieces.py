@@ -2,71 +2,177 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-_UNEVEN = re.compile(r"\s | \s")
+#: White space as ``str.isspace`` knows it, for Arrow's regular expressions, which know ASCII only.
+SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNEVEN = rf"{SPACES} | {SPACES}|\A | \z"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Stretches a Python worker remembers at most; then it starts afresh.
-MAX_REMEMBERED = 900_000
-#: Characters of text that are worked on at once.
-BLOCK_CHARS = 2 * 2**20
+#: Stretches in each of the two generations of a memory, about; half as many words.
+MAX_REMEMBERED = 150_000
+#: Bytes of text that are worked on at once.
+BLOCK_BYTES = 4 * 2**20
 
 
-def stretches(text: str) -> list[str]:
-    """A text cut at each space between two characters that are not white space; the spaces are dropped.
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut at each space between two characters that are not white space, without these spaces: all stretches one
+    after the other, and how many each text has (one at least).
 
     In ``public_tokenizers.PATTERN`` only a run of white space can hold a space that is not its first character,
     and such a run has no place here: it always cuts before these spaces, and nothing before a cut
     changes what comes after. So stretch by stretch, each but the first with its space, gives the same tokens.
     """
-    if _UNEVEN.search(text) or text[:1] == " " or text[-1:] == " ":
-        return _CUT.split(text)
-    return text.split(" ")
+    uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+    even = pc.split_pattern(texts.filter(pa.array(~uneven)), " ")
+    counts = np.empty(len(texts), "i8")
+    counts[~uneven] = even.value_lengths()
+    if not uneven.any():
+        return even.flatten(), counts
+    others = [_CUT.split(text) for text in texts.filter(pa.array(uneven)).to_pylist()]
+    counts[uneven] = [len(parts) for parts in others]
+    pieces = pa.concat_arrays([even.flatten(), pa.array(itertools.chain.from_iterable(others), texts.type)])
+    # The even texts' stretches come first here; back to the order of the texts.
+    order = np.argsort(uneven, kind="stable")
+    starts = np.empty(len(texts), "i8")
+    starts[order] = np.cumsum(counts[order]) - counts[order]
+    places = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    return pieces.take(pa.array(places)), counts
+
+
+def stretches(text: str) -> list[str]:
+    """The stretches of one text, see ``cut``."""
+    return cut(pa.array([text], pa.string()))[0].to_pylist()
+
+
+class Memory:
+    """Values by key in two generations. When the younger one is full, the elder is forgotten: keys in use stay."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict[str, Any] = {}
+        self.old: dict[str, Any] = {}
+
+    def values(self, keys: list[str], make: Callable[[list[str]], list[Any]]) -> list[Any]:
+        """The value of each key; ``make`` gives those that are not known, none of which is None."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        new = []
+        for i in [i for i, value in enumerate(found) if value is None]:
+            key = keys[i]
+            value = old.get(key)
+            if value is None:
+                new.append(i)
+            else:
+                found[i] = young[key] = value
+        if new:
+            for i, value in zip(new, make([keys[i] for i in new]), strict=True):
+                found[i] = young[keys[i]] = value
+        return found
 
 
 class Remembered:
-    """Encodes texts by stretches; ``encode_new`` gets stretches not met before and returns one tuple of ``width``
-    byte strings for each."""
-
-    def __init__(self, encode_new: Callable[[list[str]], list[tuple[bytes, ...]]], width: int) -> None:
-        self.encode_new, self.width = encode_new, width
-        self.first: list[dict[str, bytes]] = [{} for _ in range(width)]
-        self.rest: list[dict[str, bytes]] = [{} for _ in range(width)]  # by the stretch without the space before it
-
-    def encode(self, texts: list[str]) -> list[list[bytes]]:
-        """For each of the ``width`` values, the joined byte strings of each text."""
-        columns: list[list[bytes]] = [[] for _ in range(self.width)]
-        block, size = [], 0
-        for i, text in enumerate(texts):
-            block.append(text)
-            size += len(text)
-            if size >= BLOCK_CHARS or i + 1 == len(texts):
-                self._block(block, columns)
-                block, size = [], 0
-        return columns
-
-    def _block(self, texts: list[str], columns: list[list[bytes]]) -> None:
-        cut = [stretches(text) for text in texts]
-        heads = {parts[0] for parts in cut}
-        tails = set().union(*(parts[1:] for parts in cut))
-        if len(self.first[0]) + len(self.rest[0]) + len(heads) + len(tails) > MAX_REMEMBERED:
-            for known in self.first + self.rest:
-                known.clear()
-        heads, tails = list(heads.difference(self.first[0])), list(tails.difference(self.rest[0]))
-        values = self.encode_new(heads + [" " + s for s in tails])
-        for i, column in enumerate(columns):
-            first, rest = self.first[i], self.rest[i]
-            first.update(zip(heads, [v[i] for v in values[: len(heads)]], strict=True))
-            rest.update(zip(tails, [v[i] for v in values[len(heads) :]], strict=True))
-            for parts in cut:
-                column.append(first[parts[0]] + b"".join(map(rest.__getitem__, parts[1:])))
+    """Encodes texts by stretches and these by words; ``make`` gets words not met before and returns one tuple of
+    ``width`` byte strings for each."""
+
+    def __init__(self, make: Callable[[list[str]], list[tuple[bytes, ...]]], width: int, limit: int | None = None) -> None:
+        limit = limit or MAX_REMEMBERED
+        self.make, self.width, self.pattern = make, width, regex.compile(public_tokenizers.PATTERN)
+        self.stretches, self.words = Memory(limit), Memory(limit // 2)
+
+    def _from_words(self, stretches: list[str]) -> list[tuple[bytes, ...]]:
+        # Stretches that stood between two others, without white space at their ends, are cut as the text that they make
+        # together: the pattern cuts it before each of their spaces.
+        inner = np.array([s[:1] == " " and len(s) > 1 and s[1:] == s.strip() for s in stretches])
+        order = np.argsort(inner, kind="stable").tolist()
+        alone = len(order) - int(inner.sum())
+        cut = [self.pattern.findall(stretches[i]) for i in order[:alone]]
+        together = [stretches[i] for i in order[alone:]]
+        words = self.pattern.findall("".join(together))
+        ends = np.cumsum([len(parts) for parts in cut], dtype="i8")
+        after = np.searchsorted(np.cumsum([len(w) for w in words]), np.cumsum([len(s) for s in together])) + 1
+        ends = np.concatenate([ends, after.astype("i8") + sum(map(len, cut))])
+        words = pa.array(itertools.chain(*cut, words), pa.large_string()).dictionary_encode()
+        values = self.words.values(as_list(words.dictionary), self.make)
+        columns = (as_list(joined(column.take(words.indices), ends)) for column in self._columns(values))
+        found: list[tuple[bytes, ...]] = [()] * len(stretches)
+        for i, value in zip(order, zip(*columns, strict=True), strict=True):
+            found[i] = value
+        return found
+
+    def _columns(self, values: list[tuple[bytes, ...]]) -> list[pa.LargeBinaryArray]:
+        return [pa.array([v[i] for v in values], pa.large_binary()) for i in range(self.width)]
+
+    def encode(self, texts: pa.Array) -> list[pa.LargeBinaryArray]:
+        """For each of the ``width`` values, the joined byte strings of each text; there are no null texts."""
+        blocks = [self._block(block) for block in split(texts)]
+        empty = pa.array([], pa.large_binary())
+        return [pa.concat_arrays([empty, *(block[i] for block in blocks)]) for i in range(self.width)]
+
+    def _block(self, texts: pa.Array) -> list[pa.LargeBinaryArray]:
+        pieces, counts = cut(texts)
+        ends = np.cumsum(counts)
+        first = np.zeros(len(pieces), bool)
+        first[ends - counts] = True
+        heads = pieces.filter(pa.array(first)).dictionary_encode()
+        tails = pieces.filter(pa.array(~first)).dictionary_encode()
+        keys = as_list(heads.dictionary) + [" " + s for s in as_list(tails.dictionary)]
+        values = self.stretches.values(keys, self._from_words)
+        places = np.empty(len(pieces), "i8")
+        places[first] = heads.indices
+        places[~first] = len(heads.dictionary) + tails.indices.to_numpy()
+        places = pa.array(places)
+        return [joined(column.take(places), ends) for column in self._columns(values)]
+
+
+def split(texts: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring texts of about ``BLOCK_BYTES`` together."""
+    ends = np.cumsum(pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False), dtype="i8")
+    bounds = [0, *(np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1).tolist(), len(texts)]
+    for a, b in itertools.pairwise(bounds):
+        if b > a:
+            yield texts.slice(a, b - a)
+
+
+def by_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches (doc_id, text, ...) in batches of about ``BLOCK_BYTES`` of text."""
+    for batch in batches:
+        at = 0
+        for texts in split(batch.column(1)):
+            yield batch.slice(at, len(texts))
+            at += len(texts)
+        # Arrow keeps freed memory for later; here the JVM and other workers share an executor's.
+        pa.default_memory_pool().release_unused()
+
+
+def as_list(values: pa.Array) -> list[Any]:
+    """``to_pylist`` of an array without nulls, in one conversion."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def joined(parts: pa.LargeBinaryArray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """Neighbouring byte strings put together; ``ends`` says where each group ends. The bytes stay where they are."""
+    offsets = byte_offsets(parts)[np.concatenate([[0], ends])]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), parts.buffers()[2] or pa.py_buffer(b"")]
+    )
+
+
+def byte_offsets(parts: pa.LargeBinaryArray) -> np.ndarray:
+    """Where each byte string starts in the data buffer, and where the last one ends."""
+    return np.frombuffer(parts.buffers()[1], "i8")[parts.offset : parts.offset + len(parts) + 1]
 
 
 def for_worker(key: str, make: Callable[[], Any]) -> Any:
@@ -76,7 +182,3 @@ def for_worker(key: str, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept[key] = make()
     return kept[key]
-
-
-def pattern() -> regex.Pattern:
-    return regex.compile(public_tokenizers.PATTERN)

@@ -8,17 +8,19 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickline.llm.bpe import id_lists
-from clickline.llm.pieces import Remembered, for_worker, pattern
+from clickline.llm.pieces import Remembered, by_blocks, for_worker
 from clickline.llm.shared import running_total, scratch_path, text_key
 
 #: Appended to each document.
@@ -69,32 +71,27 @@ class TextEncoder:
             and model["type"] == "BPE"
             and not model.get("ignore_merges")
         )
-        self.characters, self.words = _byte_characters(), pattern()
-        self.word_ids: dict[str, bytes] = {}
-        self.remembered = Remembered(self._encode_new, 1)
-
-    def _word(self, word: str) -> bytes:
-        known = self.word_ids.get(word)
-        if known is None:
-            written = word.encode().decode("latin-1").translate(self.characters)
-            ids = [token.id for token in self.tokenizer.model.tokenize(written)]
-            known = self.word_ids[word] = np.array(ids, "<i4").tobytes()
-        return known
-
-    def _encode_new(self, stretches: list[str]) -> list[tuple[bytes]]:
-        if len(self.word_ids) > 500_000:
-            self.word_ids.clear()
-        return [(b"".join([self._word(w) for w in self.words.findall(s)]),) for s in stretches]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        whole = [i for i, text in enumerate(texts) if not self.plain or any(t in text for t in self.added)]
-        coded = self.tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False)
-        by_library = {i: np.array(x.ids, "<i4").tobytes() for i, x in zip(whole, coded, strict=True)}
-        if len(whole) == len(texts):
-            return list(by_library.values())
-        others = iter(self.remembered.encode([text for i, text in enumerate(texts) if i not in by_library])[0])
-        return [by_library[i] if i in by_library else next(others) for i in range(len(texts))]
+        self.characters = _byte_characters()
+        self.remembered = Remembered(self._tokenize_new, 1)
+
+    def _tokenize_new(self, words: list[str]) -> list[tuple[bytes]]:
+        tokenize, characters = self.tokenizer.model.tokenize, self.characters
+        written = [w.encode().decode("latin-1").translate(characters) for w in words]
+        return [(array("i", [token.id for token in tokenize(w)]).tobytes(),) for w in written]
+
+    def encode(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        """Little-endian 32-bit ids of each text; there are no null texts."""
+        whole = np.full(len(texts), not self.plain)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self.remembered.encode(texts)[0]
+        by_library = self.tokenizer.encode_batch(texts.filter(pa.array(whole)).to_pylist(), add_special_tokens=False)
+        others = self.remembered.encode(texts.filter(pa.array(~whole)))[0]
+        coded = pa.array([np.array(x.ids, "<i4").tobytes() for x in by_library], pa.large_binary())
+        # Row i is the next one of its kind.
+        places = np.where(whole, len(others) + np.cumsum(whole), np.cumsum(~whole)) - 1
+        return pa.concat_arrays([others, coded]).take(pa.array(places))
 
 
 def write_token_files(
@@ -128,9 +125,9 @@ def write_token_files(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = f"tokenizer {tokenizer} {special_as_text}"
         encoder = for_worker(key, lambda: TextEncoder(tokenizer, special_as_text))
-        row, end = 0, np.array([END_ID], "<i4").tobytes()
-        for batch in batches:
-            ids = id_lists([x + end for x in encoder.encode(batch.column(1).to_pylist())])
+        row, end = 0, pa.scalar(np.array([END_ID], "<i4").tobytes(), pa.large_binary())
+        for batch in by_blocks(batches):
+            ids = id_lists(pc.binary_join_element_wise(encoder.encode(batch.column(1)), end, pa.scalar(b"", pa.large_binary())))
             rows = pa.array(np.arange(row, row + len(ids)))
             row += len(ids)
             columns = [batch.column(0), ids, batch.column(2), rows]

@@ -6,10 +6,13 @@ import collections
 import time
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from clickline.llm import classifier, licenses, mixing, urls, vectors
+from clickline.llm import bpe, classifier, licenses, mixing, pieces, token_files, urls, vectors
 
 
 def test_repeated_rows_share_what_the_mix_takes_of_them(make_docs):
@@ -129,3 +132,77 @@ def test_words_of_many_notices_are_counted_in_one_pass():
     assert row[:4] == (24_000, 4_000, 2, 23_996)
     assert [s[1] for s in row[7] if s[0] == "mit"] == list(range(2, 24_000, 6))
     assert licenses.scan("nothing here", searches, licenses.PHRASES)[:4] == (2, 0, None, None)
+
+
+def byte_ranks():
+    return {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate((b"ab", b"bc", b"abc", b"aa", b"aaaa", b"bca"))}
+
+
+def test_words_are_merged_leftmost_pair_of_lowest_rank_first():
+    merger = bpe.Merger(byte_ranks())
+    words = [b"x", b"ab", b"bca", b"xbcab", b"abcabca", b"aaaaaaa", b"cab" * 9, b"", b"bbb", b"z" * 300, b"aab" * 100]
+
+    def one_by_one(word):
+        parts = [word[i : i + 1] for i in range(len(word))] if word not in merger.ranks else [word]
+        while True:
+            pairs = [(merger.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in merger.ranks]
+            if not pairs:
+                return [merger.ranks[p] for p in parts]
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    got = [np.frombuffer(x, "<i4").tolist() for x in merger.merge(words)]
+    assert got == [one_by_one(w) for w in words]
+
+
+def test_texts_keep_their_order_across_blocks_and_forgetting(monkeypatch):
+    made = []
+
+    def make(words):
+        made.extend(words)
+        return [(w.encode(), w[::-1].encode()) for w in words]
+
+    monkeypatch.setattr(pieces, "MAX_REMEMBERED", 5)
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 40)
+    texts = ["", "a b", "a  b", " a", "b\n c", "a\u3000 b c", "long " * 30, "a b", "", "\x85 x y", "é 漢 é"] * 3
+    remembered = pieces.Remembered(make, 2)
+    plain, turned = remembered.encode(pa.array(texts))
+    assert [x.decode() for x in plain.to_pylist()] == texts
+    words = regex.compile(public_tokenizers.PATTERN)
+    for text, got in zip(texts, turned.to_pylist(), strict=True):
+        assert got.decode() == "".join(w[::-1] for w in words.findall(text))
+    # What stays in use is not made again, and no more than two generations and a block are kept.
+    assert made.count(" b") <= 2 and len(remembered.words.young) < 40
+    assert [len(x) for x in remembered.encode(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_spaces_are_those_of_python():
+    import sys
+
+    every = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    spaces = pa.compute.match_substring_regex(pa.array(every), pieces.SPACES).to_pylist()
+    assert [c for c, s in zip(every, spaces, strict=True) if s] == [c for c in every if c.isspace()]
+
+
+def test_many_new_words_in_several_blocks(monkeypatch):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    random = np.random.default_rng(5)
+    letters = random.choice(list("aeinrstlo"), (3_000, 12))
+    words = pa.array([" ".join(map("".join, letters[i : i + 100].tolist())) for i in range(0, len(letters), 100)])
+    whole, decoded = bpe.Coder(ranks).code(words)
+    assert decoded.to_pylist() == [w.encode() for w in words.to_pylist()]
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 2_000)
+    monkeypatch.setattr(bpe, "BLOCK_SQUARES", 20_000)
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 5_000)
+    assert bpe.Coder(ranks).code(words)[0].equals(whole)
+    assert bpe.id_lists(whole.slice(7, 3)).to_pylist() == [np.frombuffer(x, "<i4").tolist() for x in whole.to_pylist()[7:10]]
+
+
+def test_added_tokens_and_plain_texts_keep_their_order():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["a b", "a <|endoftext|> b", "", "c  d", "<|endoftext|>", "e"]
+    got = token_files.TextEncoder(path).encode(pa.array(texts)).to_pylist()
+    library = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<i4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
