@@ -21,12 +21,14 @@ from pyspark.sql import types as T
 
 from clickline.llm.bpe import id_lists
 from clickline.llm.pieces import Remembered, by_blocks, for_worker
-from clickline.llm.shared import running_total, scratch_path, text_key
+from clickline.llm.shared import running_total, scratch_path, stored, text_key
 
 #: Appended to each document.
 END_ID = 0
 #: Text that one file's task takes, about.
 BYTES_PER_FILE = 64 * 2**20
+#: Stretches in each generation of a worker's memory: one byte string for each, so more than the default.
+MAX_STRETCHES = 400_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -72,7 +74,7 @@ class TextEncoder:
             and not model.get("ignore_merges")
         )
         self.characters = _byte_characters()
-        self.remembered = Remembered(self._tokenize_new, 1)
+        self.remembered = Remembered(self._tokenize_new, 1, MAX_STRETCHES)
 
     def _tokenize_new(self, words: list[str]) -> list[tuple[bytes]]:
         tokenize, characters = self.tokenizer.model.tokenize, self.characters
@@ -167,7 +169,8 @@ def token_index(files: DataFrame) -> DataFrame:
     sums = files.select("doc_id", "ids", "part", "row").mapInArrow(
         run, f"doc_id {kind}, part long, row long, n_tokens long, ids_crc32 long"
     )
-    placed = running_total(sums, "n_tokens", "_stop", slice_by="part", order_by=["row"])
+    # Stored, so that the files are read once: the totals of the parts come before the sums in them.
+    placed = running_total(stored(sums, "token-sums"), "n_tokens", "_stop", slice_by="part", order_by=["row"])
     return placed.select("doc_id", (F.col("_stop") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
 
 
