@@ -19,7 +19,9 @@ import regex
 SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _UNEVEN = rf"{SPACES} | {SPACES}|\A | \z"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Stretches in each of the two generations of a memory, about; half as many words.
+#: A stretch that is one word of the pattern, as most are; others are cut by the pattern.
+_ONE_WORD = r"\A ?[A-Za-z]+\z"
+#: Words in each of the two generations of a memory, about.
 MAX_REMEMBERED = 150_000
 #: Bytes of text that are worked on at once.
 BLOCK_BYTES = 4 * 2**20
@@ -56,64 +58,64 @@ def stretches(text: str) -> list[str]:
 
 
 class Memory:
-    """Values by key in two generations. When the younger one is full, the elder is forgotten: keys in use stay."""
+    """Byte strings by word, in two generations of Arrow columns. When the younger one is full, the elder is forgotten:
+    words in use stay."""
 
-    def __init__(self, limit: int) -> None:
+    def __init__(self, width: int, limit: int) -> None:
         self.limit = limit
-        self.young: dict[str, Any] = {}
-        self.old: dict[str, Any] = {}
+        self.schema = pa.schema([("word", pa.large_string()), *((str(i), pa.large_binary()) for i in range(width))])
+        self.young = self.old = self.schema.empty_table()
 
-    def values(self, keys: list[str], make: Callable[[list[str]], list[Any]]) -> list[Any]:
-        """The value of each key; ``make`` gives those that are not known, none of which is None."""
+    def values(
+        self, words: pa.LargeStringArray, make: Callable[[list[str]], list[tuple[bytes, ...]]]
+    ) -> list[pa.LargeBinaryArray]:
+        """The columns of values of ``words``, which are distinct; ``make`` gives those that are not known."""
         if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        found = list(map(young.get, keys))
-        new = []
-        for i in [i for i, value in enumerate(found) if value is None]:
-            key = keys[i]
-            value = old.get(key)
-            if value is None:
-                new.append(i)
-            else:
-                found[i] = young[key] = value
-        if new:
-            for i, value in zip(new, make([keys[i] for i in new]), strict=True):
-                found[i] = young[keys[i]] = value
-        return found
+            self.old, self.young = self.young, self.schema.empty_table()
+        at = pc.index_in(words, self.young["word"])
+        rest = words.filter(at.is_null())
+        at_old = pc.index_in(rest, self.old["word"])
+        new = rest.filter(at_old.is_null())
+        made = list(zip(*make(as_list(new)), strict=True)) if len(new) else [()] * (len(self.schema) - 1)
+        columns = [new, *(pa.array(column, pa.large_binary()) for column in made)]
+        # Behind the younger generation stand the words of the elder, then the new ones.
+        order = np.argsort(at_old.is_null().to_numpy(zero_copy_only=False), kind="stable")
+        behind = np.empty(len(rest), "i8")
+        behind[order] = np.arange(len(self.young), len(self.young) + len(rest))
+        unknown = at.is_null().to_numpy(zero_copy_only=False)
+        places = at.fill_null(0).to_numpy().astype("i8")
+        places[unknown] = behind
+        added = [self.old.take(at_old.drop_null()), pa.table(columns, self.schema)]
+        self.young = pa.concat_tables([self.young, *added]).combine_chunks()
+        return [pa.concat_arrays(column.chunks).take(pa.array(places)) for column in self.young.columns[1:]]
 
 
 class Remembered:
-    """Encodes texts by stretches and these by words; ``make`` gets words not met before and returns one tuple of
-    ``width`` byte strings for each."""
+    """Encodes texts by words; ``make`` gets words not met before and returns one tuple of ``width`` byte strings for
+    each."""
 
     def __init__(self, make: Callable[[list[str]], list[tuple[bytes, ...]]], width: int, limit: int | None = None) -> None:
-        limit = limit or MAX_REMEMBERED
         self.make, self.width, self.pattern = make, width, regex.compile(public_tokenizers.PATTERN)
-        self.stretches, self.words = Memory(limit), Memory(limit // 2)
+        self.words = Memory(width, limit or MAX_REMEMBERED)
 
-    def _from_words(self, stretches: list[str]) -> list[tuple[bytes, ...]]:
+    def _cut_words(self, stretches: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
+        """The words of stretches, one stretch after the other but in another order: all words, how many each stretch
+        has, and which one it is."""
+        single = pc.match_substring_regex(stretches, _ONE_WORD).to_numpy(zero_copy_only=False)
+        others = as_list(stretches.filter(pa.array(~single)))
         # Stretches that stood between two others, without white space at their ends, are cut as the text that they make
         # together: the pattern cuts it before each of their spaces.
-        inner = np.array([s[:1] == " " and len(s) > 1 and s[1:] == s.strip() for s in stretches])
-        order = np.argsort(inner, kind="stable").tolist()
-        alone = len(order) - int(inner.sum())
-        cut = [self.pattern.findall(stretches[i]) for i in order[:alone]]
-        together = [stretches[i] for i in order[alone:]]
+        inner = np.array([s[:1] == " " and len(s) > 1 and s[1:] == s.strip() for s in others], bool)
+        order = np.argsort(inner, kind="stable")
+        alone = len(others) - int(inner.sum())
+        cut = [self.pattern.findall(others[i]) for i in order[:alone].tolist()]
+        together = [others[i] for i in order[alone:].tolist()]
         words = self.pattern.findall("".join(together))
-        ends = np.cumsum([len(parts) for parts in cut], dtype="i8")
-        after = np.searchsorted(np.cumsum([len(w) for w in words]), np.cumsum([len(s) for s in together])) + 1
-        ends = np.concatenate([ends, after.astype("i8") + sum(map(len, cut))])
-        words = pa.array(itertools.chain(*cut, words), pa.large_string()).dictionary_encode()
-        values = self.words.values(as_list(words.dictionary), self.make)
-        columns = (as_list(joined(column.take(words.indices), ends)) for column in self._columns(values))
-        found: list[tuple[bytes, ...]] = [()] * len(stretches)
-        for i, value in zip(order, zip(*columns, strict=True), strict=True):
-            found[i] = value
-        return found
-
-    def _columns(self, values: list[tuple[bytes, ...]]) -> list[pa.LargeBinaryArray]:
-        return [pa.array([v[i] for v in values], pa.large_binary()) for i in range(self.width)]
+        ends = np.searchsorted(np.cumsum([len(w) for w in words]), np.cumsum([len(s) for s in together])) + 1
+        every = [stretches.filter(pa.array(single)), pa.array(itertools.chain(*cut, words), pa.large_string())]
+        counts = [np.ones(single.sum(), "i8"), [len(parts) for parts in cut], np.diff(ends, prepend=0)]
+        which = [np.flatnonzero(single), np.flatnonzero(~single)[order]]
+        return pa.concat_arrays(every), np.concatenate(counts).astype("i8"), np.concatenate(which)
 
     def encode(self, texts: pa.Array) -> list[pa.LargeBinaryArray]:
         """For each of the ``width`` values, the joined byte strings of each text; there are no null texts."""
@@ -128,13 +130,18 @@ class Remembered:
         first[ends - counts] = True
         heads = pieces.filter(pa.array(first)).dictionary_encode()
         tails = pieces.filter(pa.array(~first)).dictionary_encode()
-        keys = as_list(heads.dictionary) + [" " + s for s in as_list(tails.dictionary)]
-        values = self.stretches.values(keys, self._from_words)
+        text = pa.large_string()
+        spaced = pc.binary_join_element_wise(pa.scalar("", text), tails.dictionary.cast(text), pa.scalar(" ", text))
+        words, lengths, which = self._cut_words(pa.concat_arrays([heads.dictionary.cast(text), spaced]))
+        # Stretches stand in another order there.
+        rows = np.empty(len(which), "i8")
+        rows[which] = np.arange(len(which))
         places = np.empty(len(pieces), "i8")
-        places[first] = heads.indices
-        places[~first] = len(heads.dictionary) + tails.indices.to_numpy()
-        places = pa.array(places)
-        return [joined(column.take(places), ends) for column in self._columns(values)]
+        places[first] = rows[heads.indices]
+        places[~first] = rows[len(heads.dictionary) + tails.indices.to_numpy()]
+        places, word_ends, words = pa.array(places), np.cumsum(lengths), words.dictionary_encode()
+        values = self.words.values(words.dictionary, self.make)
+        return [joined(joined(column.take(words.indices), word_ends).take(places), ends) for column in values]
 
 
 def split(texts: pa.Array) -> Iterator[pa.Array]:

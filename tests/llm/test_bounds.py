@@ -206,3 +206,41 @@ def test_added_tokens_and_plain_texts_keep_their_order():
     got = token_files.TextEncoder(path).encode(pa.array(texts)).to_pylist()
     library = Tokenizer.from_file(path)
     assert [np.frombuffer(x, "<i4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_stretches_of_one_word_are_not_cut_by_the_pattern():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, seen = token_files.TextEncoder(path), []
+    pattern = encoder.remembered.pattern
+
+    class Counted:
+        def findall(self, text):
+            seen.append(text)
+            return pattern.findall(text)
+
+    encoder.remembered.pattern = Counted()
+    texts = [" ".join(f"{a}{b}" for b in "uvwxyz") + f" {a}'s, e\n" for a in ("so", "Le", "né", "x1")] + ["so solo", "", " ", "a\n"]
+    got = encoder.encode(pa.array(texts)).to_pylist()
+    library = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<i4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    cut = "".join(seen)
+    assert "né" in cut and "x1" in cut and "so's," in cut
+    assert not any(word in cut for word in ("sou", "Lez", "solo"))
+
+
+def test_words_in_use_pass_to_the_younger_generation():
+    made, memory = [], pieces.Memory(2, 3)
+
+    def make(words):
+        made.append(words)
+        return [(w.encode(), w.upper().encode()) for w in words]
+
+    for words in (["a", "b", "c", "d"], ["x", "d", "b", "y"], ["b", "z"], ["c", "a", "b"], []):
+        plain, upper = memory.values(pa.array(words, pa.large_string()), make)
+        assert plain.to_pylist() == [w.encode() for w in words]
+        assert upper.to_pylist() == [w.upper().encode() for w in words]
+    # The third call forgets a and c, which were not asked for in between; b and d are made once.
+    assert [w for words in made for w in words] == ["a", "b", "c", "d", "x", "y", "z", "c", "a"]
+    assert len(memory.young) + len(memory.old) <= 8
